@@ -46,5 +46,10 @@ def decimal_attribute(c: Column) -> Column:
 
 
 def fixed_digits(c: Column, digits: int = 2) -> Column:
-    """``12.346 -> '12.35'``; null gives ``N/A``."""
-    return F.when(c.isNull(), F.lit("N/A")).otherwise(F.format_string(f"%.{digits}f", c))
+    """``12.346 -> '12.35'``; null gives ``N/A``.
+
+    Rounded on the exact value, halves to even, as ``format_number`` does;
+    ``%.2f`` would round halves of the shortest decimal form up.
+    """
+    plain = F.replace(F.format_number(c, digits), F.lit(","), F.lit(""))
+    return F.coalesce(plain, F.lit("N/A"))

@@ -8,16 +8,43 @@ from lanewatch.functions.geo import cell_in_band, cells_in_band, haversine_m, la
 from lanewatch.places import RADIUS_M
 
 
+# Latitude band and cell number share one 64-bit join key.
+_CELL_BITS = 32
+_SMALLEST_RADIUS_M = 0.1
+
+
+def _with_cell(df: DataFrame, lon: str, radius_m: float) -> DataFrame:
+    """Add ``_cells``, the number of cells in ``_band``, and ``_cell``, the row's own.
+
+    Each step is a column of its own, so that no expression is written twice.
+    """
+    counted = df.withColumn("_cells", cells_in_band(F.col("_band"), radius_m))
+    return counted.withColumn("_cell", cell_in_band(F.col(lon), F.col("_cells")))
+
+
+def _cell_key(band: Column, cell: Column) -> Column:
+    # Never null, so that the join adds no null test of the whole expression.
+    return F.coalesce(F.shiftleft(band, _CELL_BITS) + cell, F.lit(0).cast("long"))
+
+
+def _event_cells(events: DataFrame, lat: str, lon: str, radius_m: float) -> DataFrame:
+    banded = events.dropna(subset=[lat, lon]).withColumn(
+        "_band", latitude_band(F.col(lat), radius_m))
+    own = _with_cell(banded, lon, radius_m)
+    return own.withColumn("_key", _cell_key(F.col("_band"), F.col("_cell"))).drop(
+        "_band", "_cells", "_cell")
+
+
 def _place_cells(places: DataFrame, radius_m: float) -> DataFrame:
     """Each place once per cell in which an event could lie within the radius."""
-    bands = F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)),
-                        lambda d: latitude_band(F.col("location_lat"), radius_m) + d)
-    banded = places.withColumn("_band", F.explode(bands))
-    cells = cells_in_band(F.col("_band"), radius_m)
-    own = cell_in_band(F.col("location_lon"), cells)
+    steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    middle = latitude_band(F.col("location_lat"), radius_m)
+    banded = places.withColumn("_band", F.explode(F.transform(steps, lambda d: middle + d)))
+    own = _with_cell(banded, "location_lon", radius_m)
     around = F.array_distinct(F.transform(
-        F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.pmod(own + d, cells)))
-    return banded.withColumn("_cell", F.explode(around))
+        steps, lambda d: F.pmod(F.col("_cell") + d, F.col("_cells"))))
+    return own.withColumn("_cell", F.explode(around)).withColumn(
+        "_key", _cell_key(F.col("_band"), F.col("_cell"))).drop("_band", "_cells", "_cell")
 
 
 def radius_join(
@@ -43,11 +70,11 @@ def radius_join(
     ``salt`` spread over the events and a number of ``salts``: each place is
     repeated per salt and a crowded cell is cut into that many parts.
     """
-    band = latitude_band(F.col(lat), radius_m)
-    cells = cells_in_band(band, radius_m)
-    placed = events.withColumns({"_band": band, "_cell": cell_in_band(F.col(lon), cells)})
+    if radius_m < _SMALLEST_RADIUS_M:
+        raise ValueError(f"the radius must be at least {_SMALLEST_RADIUS_M} m")
+    placed = _event_cells(events, lat, lon, radius_m)
     near = _place_cells(places, radius_m)
-    on = ["_band", "_cell"]
+    on = ["_key"]
     if salts > 1:
         spread = salt if salt is not None else F.xxhash64(*(F.col(f"`{c}`") for c in events.columns))
         placed = placed.withColumn("_salt", F.pmod(F.hash(spread), F.lit(salts)))

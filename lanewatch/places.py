@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # The watched places (name, latitude, longitude), the match
@@ -25,9 +26,12 @@ RESULTS_TOPIC = "ANALYSIS_RESULTS"
 def places_table(spark: SparkSession, places=PLACES) -> DataFrame:
     """The dimension (name, location_lat, location_lon).
 
-    It is a local relation, so the optimizer knows its size and broadcasts it
-    on that ground; no hint is given anywhere.
+    Made from Arrow it is a local relation, so the optimizer knows its size and
+    broadcasts it on that ground; no hint is given anywhere.
     """
-    return spark.createDataFrame(
-        list(places), "name string, location_lat double, location_lon double"
-    )
+    names, lats, lons = zip(*places)
+    return spark.createDataFrame(pa.table({
+        "name": pa.array(names, pa.string()),
+        "location_lat": pa.array(lats, pa.float64()),
+        "location_lon": pa.array(lons, pa.float64()),
+    }))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from lanewatch.functions.times import millis_to_timestamp, simulation_millis
 from lanewatch.functions.values import decimal_attribute
@@ -54,13 +54,20 @@ def event_records(events: DataFrame, topic: str) -> DataFrame:
     )
 
 
-def decode_records(records: DataFrame, topic: str, kind: str) -> DataFrame:
-    """One topic's records as events; malformed values leave all fields null."""
-    return (
-        route_topic(records, topic)
-        .select(F.from_json(F.col("value").cast("string"), EVENT_SCHEMAS[kind]).alias("data"))
-        .select("data.*")
-    )
+def decode_records(
+    records: DataFrame, topic: str, kind: str, fields: tuple[str, ...] | None = None
+) -> DataFrame:
+    """One topic's records as events; malformed values leave all fields null.
+
+    Only the named ``fields`` are parsed, by default all.  The one-element
+    ``inline`` keeps later filters behind the parsing: pushed before it, each
+    of them would parse the text once more.
+    """
+    schema = EVENT_SCHEMAS[kind]
+    if fields:
+        schema = T.StructType([f for f in schema.fields if f.name in fields])
+    parsed = F.from_json(F.col("value").cast("string"), schema)
+    return route_topic(records, topic).select(F.inline(F.array(parsed)))
 
 
 def malformed_counts(events: DataFrame) -> DataFrame:
@@ -95,8 +102,8 @@ def vehicle_emissions(events: DataFrame) -> DataFrame:
 
 
 def positions_from_records(records: DataFrame, topic: str = FCD_TOPIC) -> DataFrame:
-    return vehicle_positions(decode_records(records, topic, "fcd"))
+    return vehicle_positions(decode_records(records, topic, "fcd", REQUIRED))
 
 
 def emissions_from_records(records: DataFrame, topic: str = EMISSIONS_TOPIC) -> DataFrame:
-    return vehicle_emissions(decode_records(records, topic, "emission"))
+    return vehicle_emissions(decode_records(records, topic, "emission", REQUIRED + POLLUTANTS))

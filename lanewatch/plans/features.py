@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lanewatch.functions.colours import POLLUTION_SCALE, TRAFFIC_SCALE, scale_colour
+from lanewatch.functions.colours import (
+    POLLUTION_SCALE, TRAFFIC_SCALE, colour_at, scale_position,
+)
 from lanewatch.functions.geo import circle_ring
 from lanewatch.functions.values import fixed_digits
 from lanewatch.operators.matching import with_place_name
@@ -72,23 +74,22 @@ def map_centre(usable: DataFrame) -> DataFrame:
 def with_colours(usable: DataFrame) -> DataFrame:
     """Add ``colour``: traffic by vehicle count, pollution by mean CO2.
 
-    The scale ends come from one aggregate over the same rows, used as scalar
-    subqueries: they reach every task as constants.
+    The scale ends come from one aggregate over the same rows, used as a scalar
+    subquery: they reach every task as constants.
     """
     bounds = scale_bounds(usable)
-
-    def end(name: str) -> Column:
-        return bounds.select(name).scalar()
-
-    return usable.withColumn(
+    ends = bounds.select(F.struct(*bounds.columns)).scalar()
+    traffic_at = scale_position(
+        F.col("distinct_cars_count"), F.col("_ends.traffic_low"), F.col("_ends.traffic_high"))
+    pollution_at = scale_position(
+        F.col("avg_co2"), F.col("_ends.pollution_low"), F.col("_ends.pollution_high"))
+    placed = usable.withColumn("_ends", ends).withColumn(
+        "_at", F.when(_is("traffic"), traffic_at).otherwise(pollution_at))
+    return placed.withColumn(
         "colour",
-        F.when(_is("traffic"), scale_colour(
-            F.col("distinct_cars_count"), end("traffic_low"), end("traffic_high"),
-            TRAFFIC_SCALE,
-        )).otherwise(scale_colour(
-            F.col("avg_co2"), end("pollution_low"), end("pollution_high"), POLLUTION_SCALE,
-        )),
-    )
+        F.when(_is("traffic"), colour_at(F.col("_at"), TRAFFIC_SCALE))
+        .otherwise(colour_at(F.col("_at"), POLLUTION_SCALE)),
+    ).drop("_ends", "_at")
 
 
 def label_fields() -> list[Column]:

@@ -23,7 +23,9 @@ def result_messages(results: DataFrame, name: str) -> DataFrame:
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
-    """Message values as result rows of either analysis; absent fields are null."""
-    return messages.select(
-        F.from_json(F.col("value").cast("string"), ANY_RESULT).alias("data")
-    ).select("data.*")
+    """Message values as result rows of either analysis; absent fields are null.
+
+    The one-element ``inline`` has each value parsed once, whatever is filtered.
+    """
+    parsed = F.from_json(F.col("value").cast("string"), ANY_RESULT)
+    return messages.select(F.inline(F.array(parsed)))

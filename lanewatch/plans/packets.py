@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lanewatch.functions import frames as fr
 from lanewatch.functions.times import epoch_seconds_to_iso
@@ -99,6 +99,29 @@ def decode_packets(frames: DataFrame) -> DataFrame:
     )
 
 
+def number_packets(
+    packets: DataFrame, file: str = "file_name", offset: str = "offset", step: int = 1 << 20
+) -> DataFrame:
+    """Add ``packet_no``, from 1 in each file, by a whole-number offset.
+
+    Numbers are counted within steps of the offset and moved on by the counts
+    of the steps before, so no task sorts more than one step of one file, nor
+    sees a whole large capture.  Offsets must be unique in their file.
+    """
+    stepped = packets.withColumn("_step", F.floor(F.col(offset) / step))
+    counts = stepped.groupBy(file, "_step").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(file).orderBy("_step").rowsBetween(
+        Window.unboundedPreceding, -1)
+    starts = counts.select(
+        file, "_step", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    here = F.row_number().over(Window.partitionBy(file, "_step").orderBy(offset))
+    return (
+        stepped.withColumn("_here", here).join(starts, [file, "_step"])
+        .withColumn("packet_no", F.col("_before") + F.col("_here"))
+        .drop("_step", "_here", "_before")
+    )
+
+
 def summarise_by_label(packets: DataFrame) -> DataFrame:
     """Packets and bytes per category, sub-category and label."""
     return packets.groupBy("category", "sub_category", "label").agg(

@@ -164,8 +164,9 @@ def read_captures(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES
     in_file = Window.partitionBy("path").orderBy("split")
     before = in_file.rowsBetween(Window.unboundedPreceding, -1)
     reached = F.coalesce(F.max("after").over(before), F.lit(24))
+    # A range without a record lies inside one, or in a cut-off end of the file.
     follows = F.when(F.col("records") > 0, F.col("first") == F.col("reached")).otherwise(
-        F.col("reached") + 16 > F.col("stop"))
+        (F.col("reached") >= F.col("stop")) | (F.col("reached") + 16 > F.col("length")))
     checked = (
         probed.join(ranges, ["path", "split"])
         .withColumns({
