@@ -13,7 +13,8 @@ def count_rows(df: DataFrame) -> DataFrame:
 def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Count the rows that pass this point of a batch job, at no extra job.
 
-    Read ``observation.get["rows"]`` after the action has run.
+    Read ``observation.get["rows"]`` after the action has run.  Above a global
+    sort only: below one, the sort's sampling pass would be counted as well.
     """
     observation = Observation(name)
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation

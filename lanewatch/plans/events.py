@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from lanewatch.functions.times import millis_to_timestamp, simulation_millis
 from lanewatch.functions.values import decimal_attribute
 from lanewatch.operators.filters import required_fields, route_topic
+from lanewatch.operators.once import computed_once
 from lanewatch.places import EMISSIONS_TOPIC, FCD_TOPIC
 from lanewatch.schemas import EMISSION_EVENT, FCD_EVENT, POLLUTANTS
 
@@ -59,15 +60,13 @@ def decode_records(
 ) -> DataFrame:
     """One topic's records as events; malformed values leave all fields null.
 
-    Only the named ``fields`` are parsed, by default all.  The one-element
-    ``inline`` keeps later filters behind the parsing: pushed before it, each
-    of them would parse the text once more.
+    Only the named ``fields`` are parsed, by default all, and each value once.
     """
     schema = EVENT_SCHEMAS[kind]
     if fields:
         schema = T.StructType([f for f in schema.fields if f.name in fields])
     parsed = F.from_json(F.col("value").cast("string"), schema)
-    return route_topic(records, topic).select(F.inline(F.array(parsed)))
+    return computed_once(route_topic(records, topic), {"data": parsed}, keep=[]).select("data.*")
 
 
 def malformed_counts(events: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lanewatch.functions.times import iso_instant
+from lanewatch.operators.once import computed_once
 from lanewatch.schemas import ANY_RESULT
 
 
@@ -23,9 +24,6 @@ def result_messages(results: DataFrame, name: str) -> DataFrame:
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
-    """Message values as result rows of either analysis; absent fields are null.
-
-    The one-element ``inline`` has each value parsed once, whatever is filtered.
-    """
+    """Message values as result rows of either analysis; absent fields are null."""
     parsed = F.from_json(F.col("value").cast("string"), ANY_RESULT)
-    return messages.select(F.inline(F.array(parsed)))
+    return computed_once(messages, {"data": parsed}, keep=[]).select("data.*")

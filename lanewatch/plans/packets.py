@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lanewatch.functions import frames as fr
 from lanewatch.functions.times import epoch_seconds_to_iso
+from lanewatch.operators.once import computed_once
 from lanewatch.schemas import PACKET
 
 
@@ -26,45 +27,41 @@ def capture_labels(file_name: Column) -> dict[str, Column]:
 def decode_packets(frames: DataFrame) -> DataFrame:
     """(file_name, packet_no, timestamp, link_type, frame) to the packet table.
 
-    One narrow projection chain over the frame bytes: nothing is shuffled and
-    no Python runs.
+    Narrow projections over the frame bytes: nothing is shuffled, no Python
+    runs, and columns that are not asked for are not decoded.
     """
     frame = F.col("frame")
     size = F.length(frame)
-    at = F.col("network_at")
-    is_ipv4 = F.col("is_ipv4")
-    has_tcp, has_udp, has_icmp = F.col("has_tcp"), F.col("has_udp"), F.col("has_icmp")
-    transport = F.col("transport_at")
-
-    located = frames.withColumn(
-        "network_at", fr.network_offset(frame, F.col("link_type"))
-    ).withColumn("network_type", fr.network_type(frame, F.col("link_type"), at))
-
-    typed = located.withColumns({
-        "is_ipv4": F.coalesce(
-            (F.col("network_type") == fr.ETHERTYPE_IPV4) & (size >= at + 20), F.lit(False)),
-        "is_ipv6": F.coalesce(
-            (F.col("network_type") == fr.ETHERTYPE_IPV6) & (size >= at + 40), F.lit(False)),
-        "is_arp": F.coalesce(
-            (F.col("network_type") == fr.ETHERTYPE_ARP) & (size >= at + 28), F.lit(False)),
+    at, kind = F.col("network_at"), F.col("network_type")
+
+    def present(test: Column) -> Column:
+        return F.coalesce(test, F.lit(False))
+
+    network_at = fr.network_offset(frame, F.col("link_type"))
+    placed = frames.withColumn("network_at", network_at).withColumn(
+        "network_type", fr.network_type(frame, F.col("link_type"), at))
+    network = computed_once(placed, {
+        "is_ipv4": present((kind == fr.ETHERTYPE_IPV4) & (size >= at + 20)),
+        "is_ipv6": present((kind == fr.ETHERTYPE_IPV6) & (size >= at + 40)),
+        "is_arp": present((kind == fr.ETHERTYPE_ARP) & (size >= at + 28)),
     })
 
+    is_ipv4, is_arp = F.col("is_ipv4"), F.col("is_arp")
     first_fragment = fr.unsigned(frame, at + 6, 2).bitwiseAND(F.lit(0x1FFF)) == 0
     ipv4_header = fr.unsigned(frame, at, 1).bitwiseAND(F.lit(0x0F)) * 4
-    placed = typed.withColumns({
+    transported = network.withColumns({
         "ip_proto": F.when(is_ipv4 & first_fragment, fr.unsigned(frame, at + 9, 1))
         .when(F.col("is_ipv6"), fr.unsigned(frame, at + 6, 1)),
         "transport_at": F.when(is_ipv4, (at + ipv4_header).cast("int"))
         .when(F.col("is_ipv6"), at + 40),
     })
-
-    proto = F.col("ip_proto")
-    layered = placed.withColumns({
-        "has_tcp": F.coalesce((proto == fr.PROTO_TCP) & (size >= transport + 20), F.lit(False)),
-        "has_udp": F.coalesce((proto == fr.PROTO_UDP) & (size >= transport + 8), F.lit(False)),
-        "has_icmp": F.coalesce(
-            is_ipv4 & (proto == fr.PROTO_ICMP) & (size >= transport + 8), F.lit(False)),
+    transport, proto = F.col("transport_at"), F.col("ip_proto")
+    layered = computed_once(transported, {
+        "has_tcp": present((proto == fr.PROTO_TCP) & (size >= transport + 20)),
+        "has_udp": present((proto == fr.PROTO_UDP) & (size >= transport + 8)),
+        "has_icmp": present(is_ipv4 & (proto == fr.PROTO_ICMP) & (size >= transport + 8)),
     })
+    has_tcp, has_udp, has_icmp = F.col("has_tcp"), F.col("has_udp"), F.col("has_icmp")
 
     tcp_words = fr.unsigned(frame, transport + 12, 2)
     tcp_header = F.shiftright(tcp_words, 12) * 4
@@ -78,13 +75,13 @@ def decode_packets(frames: DataFrame) -> DataFrame:
         "src_mac": F.when(F.col("link_type") == fr.LINK_ETHERNET, fr.mac_address(frame, 6)),
         "dst_mac": F.when(F.col("link_type") == fr.LINK_ETHERNET, fr.mac_address(frame, 0)),
         "src_ip": F.when(is_ipv4, fr.ipv4_address(frame, at + 12))
-        .when(F.col("is_arp"), fr.ipv4_address(frame, at + 14)),
+        .when(is_arp, fr.ipv4_address(frame, at + 14)),
         "dst_ip": F.when(is_ipv4, fr.ipv4_address(frame, at + 16))
-        .when(F.col("is_arp"), fr.ipv4_address(frame, at + 24)),
+        .when(is_arp, fr.ipv4_address(frame, at + 24)),
         "src_port": F.when(has_ports, fr.unsigned(frame, transport, 2)),
         "dst_port": F.when(has_ports, fr.unsigned(frame, transport + 2, 2)),
         "protocol": F.when(has_tcp, "TCP").when(has_udp, "UDP").when(has_icmp, "ICMP")
-        .when(F.col("is_arp"), "ARP").when(is_ipv4, "IP").otherwise("OTHER"),
+        .when(is_arp, "ARP").when(is_ipv4, "IP").otherwise("OTHER"),
         "length": size,
         "tcp_flags": F.when(
             has_tcp, fr.tcp_flag_letters(tcp_words.bitwiseAND(F.lit(0x01FF)))),

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lanewatch.operators.once import computed_once
 from lanewatch.places import EMISSIONS_TOPIC, FCD_TOPIC, PLACES
 from lanewatch.plans.events import (
     XML_NUMBERS, XML_TEXTS, event_records, vehicle_emissions, vehicle_positions,
@@ -160,13 +161,13 @@ def packet_frames(events: DataFrame) -> DataFrame:
     category = F.when(part % 3 == 0, "benign").otherwise("scan")
     name = F.concat(category, F.lit("-sub"), (part % 5).cast("string"), F.lit("-"),
                     part.cast("string"), F.lit(".pcap"))
-    made = events.select(
-        name.alias("file_name"),
-        (eid % PACKETS_PER_FILE + 1).alias("packet_no"),
-        (F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).alias("timestamp"),
-        F.lit(1).alias("link_type"),
-        F.unhex(text).alias("frame"),
-    )
+    made = computed_once(events, {
+        "file_name": name,
+        "packet_no": eid % PACKETS_PER_FILE + 1,
+        "timestamp": F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000,
+        "link_type": F.lit(1),
+        "frame": F.unhex(text),
+    }, keep=[])
     return made.select(*(F.col(f.name).cast(f.dataType).alias(f.name)
                          for f in CAPTURED_FRAME.fields))
 
