@@ -1,0 +1,158 @@
+"""XML and JSON ingest."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from lanewatch.places import EMISSIONS_TOPIC, FCD_TOPIC
+from lanewatch.plans.events import (
+    decode_records, emissions_from_records, event_records, malformed_counts,
+    positions_from_records,
+)
+from lanewatch.schemas import EMISSION_EVENT, FCD_EVENT
+from lanewatch.sources.topics import decode_bytes, kafka_options, kafka_stream
+from lanewatch.sources.vehicle_xml import read_vehicle_xml, stream_vehicle_xml
+from lanewatch.sinks.topics import kafka_sink_options
+
+BASE = 1_777_593_600_000
+
+FCD_XML = """<?xml version="1.0" encoding="UTF-8"?>
+<fcd-export version="1">
+  <timestep time="0.00">
+    <vehicle id="a" x="21.9" y="43.3" angle="1.5" type="car" speed="0.00" pos="5.1" lane="e_0" slope=""/>
+    <person id="p" x="1" y="2"/>
+    <vehicle id="b&amp;c" x="22" y=" " lane="e_1"/>
+  </timestep>
+  <timestep time="1.50"/>
+  <timestep time="1.99"><vehicle id="d" x="oops" y="1e1"/></timestep>
+  <timestep time="2.00">
+  </timestep>
+  <timestep time="-1.5"><vehicle id="e" x="1" y="2"/></timestep>
+  <timestep time="9.00"/>
+</fcd-export>
+"""
+
+
+@pytest.fixture
+def fcd_file(tmp_path):
+    path = tmp_path / "xml"
+    path.mkdir()
+    (path / "fcd.xml").write_text(FCD_XML)
+    return str(path)
+
+
+def check_fcd(rows):
+    got = {r["id"]: r.asDict() for r in rows}
+    assert set(got) == {"a", "b&c", "d", "e"}
+    a = got["a"]
+    assert a["slope"] is None and (a["x"], a["y"], a["angle"], a["pos"]) == (21.9, 43.3, 1.5, 5.1)
+    assert a["timestep"] == a["timestamp"] == BASE and a["key"] == a["vehicleId"] == "a"
+    assert got["b&c"]["y"] is None and got["b&c"]["type"] is None and got["b&c"]["lane"] == "e_1"
+    assert got["d"]["x"] is None and got["d"]["y"] == 10.0 and got["d"]["timestep"] == BASE + 1000
+    assert got["e"]["timestep"] == BASE - 1000
+
+
+def test_fcd_xml(spark, fcd_file):
+    events = read_vehicle_xml(spark, fcd_file, "fcd")
+    assert events.columns == FCD_EVENT.fieldNames()
+    check_fcd(events.collect())
+
+
+def test_fcd_xml_as_a_stream(spark, fcd_file, tmp_path):
+    out = str(tmp_path / "out")
+    stream_vehicle_xml(spark, fcd_file, "fcd").writeStream.format("parquet").option(
+        "checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start(
+        out).awaitTermination()
+    check_fcd(spark.read.parquet(out).collect())
+
+
+def test_emission_xml(spark, tmp_path):
+    (tmp_path / "e.xml").write_text(
+        '<emission-export><timestep time="3"><vehicle id="v" eclass="HBEFA3/PC" CO2="2624.72"'
+        ' CO="164.78" HC="0.81" NOx="1.20" PMx="0.07" fuel="1.13" electricity="0" noise="55.9"'
+        ' route="r" type="t" waiting="0.00" lane="l" pos="5" speed="1" angle="2" x="3" y="4"/>'
+        "</timestep></emission-export>")
+    events = read_vehicle_xml(spark, str(tmp_path), "emission")
+    assert events.columns == EMISSION_EVENT.fieldNames()
+    row = events.first()
+    assert (row["co2"], row["nox"], row["pmx"], row["eclass"], row["timestamp"]) == (
+        2624.72, 1.2, 0.07, "HBEFA3/PC", BASE + 3000)
+
+
+def test_xml_is_split_between_tasks(spark, tmp_path):
+    steps = "\n".join(
+        f'<timestep time="{i}.00">\n<vehicle id="v{i}" x="1" y="2"/>\n<vehicle id="w{i}" x="1"'
+        f' y="2"/>\n</timestep>' for i in range(3000))
+    (tmp_path / "f.xml").write_text(f"<fcd-export>\n{steps}\n</fcd-export>")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        events = read_vehicle_xml(spark, str(tmp_path), "fcd")
+        assert events.rdd.getNumPartitions() > 4
+        assert events.select("id").distinct().count() == events.count() == 6000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def records(spark, rows):
+    return spark.createDataFrame(rows, "key string, value string, topic string")
+
+
+def test_malformed_json_is_null_not_fatal(spark):
+    df = records(spark, [
+        ("1", "{bad", FCD_TOPIC), ("2", '{"x":1.5,"q":2}', FCD_TOPIC),
+        ("3", '{"x":"s"}', FCD_TOPIC), ("4", None, FCD_TOPIC), ("5", '{"x":9}', "OTHER")])
+    events = decode_records(df, FCD_TOPIC, "fcd")
+    assert sorted((r["x"] for r in events.collect()), key=str) == [1.5, None, None, None]
+    assert malformed_counts(events).first().asDict() == {"records": 4, "malformed": 4}
+    assert positions_from_records(df).count() == 0
+
+
+def test_required_fields_and_milliseconds(spark):
+    good = {"vehicleId": "v", "x": 21.9, "y": 43.3, "timestamp": BASE + 1}
+    rows = [good] + [{**good, name: None} for name in good]
+    df = records(spark, [("k", json.dumps(r), FCD_TOPIC) for r in rows])
+    kept = positions_from_records(df).withColumn("ms", F.unix_millis("event_time")).collect()
+    assert [(r["vehicle_id"], r["vehicle_lat"], r["vehicle_lon"], r["ms"]) for r in kept] == [
+        ("v", 43.3, 21.9, BASE + 1)]
+    df = records(spark, [("k", json.dumps({**good, "co2": 1}), EMISSIONS_TOPIC)])
+    row = emissions_from_records(df).first()
+    assert row["co2"] == 1.0 and row["noise"] is None
+
+
+def test_published_records_keep_nulls(spark, fcd_file):
+    sent = event_records(read_vehicle_xml(spark, fcd_file, "fcd"), FCD_TOPIC)
+    assert sent.columns == ["key", "value", "topic"]
+    values = {r["key"]: json.loads(r["value"]) for r in sent.collect()}
+    assert list(values["a"]) == FCD_EVENT.fieldNames()
+    assert values["a"]["slope"] is None and values["d"]["x"] is None
+    back = decode_records(sent, FCD_TOPIC, "fcd")
+    assert back.exceptAll(read_vehicle_xml(spark, fcd_file, "fcd")).isEmpty()
+
+
+def test_json_is_parsed_once_and_only_where_needed(spark):
+    df = records(spark, [("k", "{}", FCD_TOPIC)])
+    plan = positions_from_records(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and "StructField(lane" not in plan
+
+
+def test_bytes_to_text(spark):
+    raw = spark.createDataFrame(
+        [(bytearray("ključ".encode()), None, "T", None)],
+        "key binary, value binary, topic string, timestamp timestamp")
+    assert decode_bytes(raw).first()[:3] == ("ključ", None, "T")
+
+
+def test_kafka_options():
+    """Options only: no Kafka connector is present to run them with."""
+    assert kafka_options("h:1", ["A", "B"], "latest") == {
+        "kafka.bootstrap.servers": "h:1", "subscribe": "A,B", "startingOffsets": "latest"}
+    assert kafka_sink_options("h:1") == {
+        "kafka.bootstrap.servers": "h:1", "topic": "ANALYSIS_RESULTS"}
+    assert "topic" not in kafka_sink_options("h:1", None)
+
+
+def test_kafka_needs_its_connector(spark):
+    with pytest.raises(Exception, match="kafka"):
+        kafka_stream(spark, "h:1", ["A"])
