@@ -18,16 +18,20 @@ def simulation_millis(seconds: Column, base_ms: int = SIMULATION_BASE_MS) -> Col
     return F.lit(base_ms) + seconds.cast("long") * F.lit(1000)
 
 
+def _plain_text(ts: Column) -> Column:
+    """``2026-05-01T00:00:00``, with a fraction only where there is one, zeros cut."""
+    return F.replace(ts.cast("string"), F.lit(" "), F.lit("T"))
+
+
 def iso_instant(ts: Column) -> Column:
-    """``2026-05-01T00:00:00Z``, with milliseconds only where there are any."""
-    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    fraction = F.when(F.unix_millis(ts) % 1000 != 0, F.date_format(ts, ".SSS")).otherwise("")
-    return F.concat(whole, fraction, F.lit("Z"))
+    """``2026-05-01T00:00:00Z``; a fraction has three or six digits."""
+    text = _plain_text(ts)
+    size = F.length(text)
+    digits = F.when(size == 19, 19).when(size <= 23, 23).otherwise(26)
+    return F.concat(F.rpad(text, digits, F.lit("0")), F.lit("Z"))
 
 
 def epoch_seconds_to_iso(seconds: Column) -> Column:
     """``2026-05-01T00:00:00.250000``; the fraction is left out when it is zero."""
-    ts = F.timestamp_micros(F.round(seconds * 1_000_000).cast("long"))
-    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    fraction = F.when(F.unix_micros(ts) % 1_000_000 != 0, F.date_format(ts, ".SSSSSS")).otherwise("")
-    return F.concat(whole, fraction)
+    text = _plain_text(F.timestamp_micros(F.round(seconds * 1_000_000).cast("long")))
+    return F.when(F.length(text) == 19, text).otherwise(F.rpad(text, 26, "0"))

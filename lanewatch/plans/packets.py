@@ -30,9 +30,8 @@ def decode_packets(frames: DataFrame) -> DataFrame:
     Narrow projections over the frame bytes: nothing is shuffled, no Python
     runs, and columns that are not asked for are not decoded.
     """
-    frame = F.col("frame")
-    size = F.length(frame)
-    at, kind = F.col("network_at"), F.col("network_type")
+    frame, ethernet = F.col("frame"), F.col("link_type") == fr.LINK_ETHERNET
+    size, at, kind = F.length(frame), F.col("network_at"), F.col("network_type")
 
     def present(test: Column) -> Column:
         return F.coalesce(test, F.lit(False))
@@ -46,14 +45,18 @@ def decode_packets(frames: DataFrame) -> DataFrame:
         "is_arp": present((kind == fr.ETHERTYPE_ARP) & (size >= at + 28)),
     })
 
-    is_ipv4, is_arp = F.col("is_ipv4"), F.col("is_arp")
-    first_fragment = fr.unsigned(frame, at + 6, 2).bitwiseAND(F.lit(0x1FFF)) == 0
-    ipv4_header = fr.unsigned(frame, at, 1).bitwiseAND(F.lit(0x0F)) * 4
-    transported = network.withColumns({
-        "ip_proto": F.when(is_ipv4 & first_fragment, fr.unsigned(frame, at + 9, 1))
-        .when(F.col("is_ipv6"), fr.unsigned(frame, at + 6, 1)),
-        "transport_at": F.when(is_ipv4, (at + ipv4_header).cast("int"))
-        .when(F.col("is_ipv6"), at + 40),
+    is_ipv4, is_ipv6, is_arp = F.col("is_ipv4"), F.col("is_ipv6"), F.col("is_arp")
+    # Fragment word, time to live and protocol stand side by side.
+    middle = F.col("ipv4_middle")
+    first_fragment = fr.high_half(middle).bitwiseAND(F.lit(0x1FFF)) == 0
+    ipv4_size = fr.unsigned(frame, at, 1).bitwiseAND(F.lit(0x0F)) * 4
+    read = network.withColumn("ipv4_middle", F.when(is_ipv4, fr.unsigned(frame, at + 6, 4)))
+    transported = computed_once(read, {
+        "ip_proto": F.when(is_ipv4 & first_fragment, middle.bitwiseAND(F.lit(255)))
+        .when(is_ipv6, fr.unsigned(frame, at + 6, 1)),
+        "transport_at": F.when(is_ipv4, (at + ipv4_size).cast("int")).when(is_ipv6, at + 40),
+        "address_at": F.when(is_ipv4, at + 12).when(is_arp, at + 14),
+        "address_step": F.when(is_ipv4, 4).otherwise(10),
     })
     transport, proto = F.col("transport_at"), F.col("ip_proto")
     layered = computed_once(transported, {
@@ -63,35 +66,38 @@ def decode_packets(frames: DataFrame) -> DataFrame:
     })
     has_tcp, has_udp, has_icmp = F.col("has_tcp"), F.col("has_udp"), F.col("has_icmp")
 
-    tcp_words = fr.unsigned(frame, transport + 12, 2)
-    tcp_header = F.shiftright(tcp_words, 12) * 4
-    has_ports = has_tcp | has_udp
+    words = layered.withColumns({
+        "src_address": fr.unsigned(frame, F.col("address_at"), 4),
+        "dst_address": fr.unsigned(frame, F.col("address_at") + F.col("address_step"), 4),
+        "ports": F.when(has_tcp | has_udp, fr.unsigned(frame, transport, 4)),
+        # Header size, flags and window stand side by side.
+        "tcp_word": F.when(has_tcp, fr.unsigned(frame, transport + 12, 4)),
+    })
+    ports, tcp_word = F.col("ports"), F.col("tcp_word")
+    tcp_size = F.shiftright(tcp_word, 28) * 4
     columns = {
         "file_name": F.col("file_name"),
         **capture_labels(F.col("file_name")),
         "packet_no": F.col("packet_no"),
         "timestamp": F.col("timestamp"),
         "datetime": epoch_seconds_to_iso(F.col("timestamp")),
-        "src_mac": F.when(F.col("link_type") == fr.LINK_ETHERNET, fr.mac_address(frame, 6)),
-        "dst_mac": F.when(F.col("link_type") == fr.LINK_ETHERNET, fr.mac_address(frame, 0)),
-        "src_ip": F.when(is_ipv4, fr.ipv4_address(frame, at + 12))
-        .when(is_arp, fr.ipv4_address(frame, at + 14)),
-        "dst_ip": F.when(is_ipv4, fr.ipv4_address(frame, at + 16))
-        .when(is_arp, fr.ipv4_address(frame, at + 24)),
-        "src_port": F.when(has_ports, fr.unsigned(frame, transport, 2)),
-        "dst_port": F.when(has_ports, fr.unsigned(frame, transport + 2, 2)),
+        "src_mac": F.when(ethernet, fr.mac_address(frame, 6)),
+        "dst_mac": F.when(ethernet, fr.mac_address(frame, 0)),
+        "src_ip": fr.ipv4_text(F.col("src_address")),
+        "dst_ip": fr.ipv4_text(F.col("dst_address")),
+        "src_port": fr.high_half(ports),
+        "dst_port": fr.low_half(ports),
         "protocol": F.when(has_tcp, "TCP").when(has_udp, "UDP").when(has_icmp, "ICMP")
         .when(is_arp, "ARP").when(is_ipv4, "IP").otherwise("OTHER"),
         "length": size,
-        "tcp_flags": F.when(
-            has_tcp, fr.tcp_flag_letters(tcp_words.bitwiseAND(F.lit(0x01FF)))),
-        "ttl": F.when(is_ipv4, fr.unsigned(frame, at + 8, 1)),
-        "window_size": F.when(has_tcp, fr.unsigned(frame, transport + 14, 2)),
+        "tcp_flags": fr.tcp_flag_letters(fr.high_half(tcp_word).bitwiseAND(F.lit(0x01FF))),
+        "ttl": F.shiftright(middle, 8).bitwiseAND(F.lit(255)),
+        "window_size": fr.low_half(tcp_word),
         # Whatever was captured behind the header, link padding included.
-        "payload_len": F.when(has_tcp, F.greatest(F.lit(0), size - transport - tcp_header))
+        "payload_len": F.when(has_tcp, F.greatest(F.lit(0), size - transport - tcp_size))
         .when(has_udp, size - transport - 8).otherwise(0),
     }
-    return layered.select(
+    return words.select(
         *(columns[f.name].cast(f.dataType).alias(f.name) for f in PACKET.fields)
     )
 
