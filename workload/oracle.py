@@ -68,19 +68,19 @@ def _traffic(sliding: bool = False, streamed: bool = False) -> str:
             " from windowed group by w, lat, lon")
 
 
-def _pollution_measures(as_zero: bool, digits: int | None) -> str:
-    def shown(expr: str) -> str:
-        return f"round({expr}, {digits})" if digits is not None else expr
+def _pollution_measures(as_zero: bool, rounded: bool) -> str:
+    def shown(expr: str, p: str) -> str:
+        return f"round({expr}, { {'hc': 10, 'pmx': 11}.get(p, 9) })" if rounded else expr
 
     mean = "coalesce(sum({p}), 0)/count(*)" if as_zero else "avg({p})"
-    parts = [f"{shown(mean.format(p=p))} as avg_{p}" for p in POLLUTANTS]
-    parts += [f"{shown(f'max({p})')} as max_{p}" for p in POLLUTANTS]
+    parts = [f"{shown(mean.format(p=p), p)} as avg_{p}" for p in POLLUTANTS]
+    parts += [f"{shown(f'max({p})', p)} as max_{p}" for p in POLLUTANTS]
     return ", ".join(parts)
 
 
 def _pollution(sliding: bool = False, streamed: bool = False, as_zero: bool = False) -> str:
     return (f"with {_windows(sliding, streamed)} select {_FRAME},"
-            f" {_pollution_measures(as_zero, 9)}, 'pollution' as analysis_type"
+            f" {_pollution_measures(as_zero, True)}, 'pollution' as analysis_type"
             " from windowed group by w, lat, lon")
 
 
@@ -88,14 +88,14 @@ _NO_MEASURES = ", ".join(
     f"null::double as {part}_{p}" for part in ("avg", "max") for p in POLLUTANTS)
 
 
-def _results(streamed: bool = False, digits: int | None = None) -> str:
+def _results(streamed: bool = False, rounded: bool = False) -> str:
     """CTEs up to ``results``, the union of both analyses."""
     return f"""{_windows(False, streamed)},
 results as (
   select {_FRAME}, count(distinct id) as distinct_cars_count, {_NO_MEASURES},
     'traffic' as analysis_type from windowed group by w, lat, lon
   union all
-  select {_FRAME}, null::bigint, {_pollution_measures(False, digits)}, 'pollution'
+  select {_FRAME}, null::bigint, {_pollution_measures(False, rounded)}, 'pollution'
   from windowed group by w, lat, lon)"""
 
 
@@ -343,7 +343,7 @@ def oracle_sql() -> dict[str, str]:
         "pollution_tumbling": _pollution(),
         "pollution_sliding": _pollution(sliding=True),
         "pollution_null_as_zero": _pollution(as_zero=True),
-        "result_message_fields": f"with {_results(digits=9)} select * from results",
+        "result_message_fields": f"with {_results(rounded=True)} select * from results",
         "result_message_keys":
             f"with {_results()} select analysis_type || '/' || window_start || '/' || window_end"
             " || '/' || location_x || '/' || location_y as key from results",
@@ -351,10 +351,10 @@ def oracle_sql() -> dict[str, str]:
         "stream_traffic": _traffic(streamed=True),
         "stream_traffic_sliding": _traffic(sliding=True, streamed=True),
         "stream_pollution": _pollution(streamed=True),
-        "stream_union": f"with {_results(streamed=True, digits=9)} select * from results",
+        "stream_union": f"with {_results(streamed=True, rounded=True)} select * from results",
 
         "usable_result_rows":
-            f"with {_results(digits=9)} select window_start, location_x, location_y,"
+            f"with {_results(rounded=True)} select window_start, location_x, location_y,"
             " distinct_cars_count, avg_co2, analysis_type from results",
         "colour_scale_bounds":
             f"with {_results()} select round(traffic_low, 6) as traffic_low,"

@@ -44,6 +44,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
 SLIDING = WindowSpec("sliding")
+RESULT_DIGITS = {"hc": 10, "pmx": 11}  # others 9
 ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
 LINE_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_quantity",
                 "l_extendedprice", "l_discount")
@@ -65,15 +66,20 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
         else F.col(f.name) for f in df.schema.fields))
 
 
-def shown(results: DataFrame) -> DataFrame:
-    """Window bounds as text, doubles rounded.
+def rounded_results(results: DataFrame) -> DataFrame:
+    """Doubles rounded to where a mean of these values does not end in a 5."""
+    return results.select(*(
+        F.round(f.name, RESULT_DIGITS.get(f.name[4:], 9)).alias(f.name)
+        if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+        for f in results.schema.fields))
+
 
-    To nine digits: means of these values may end in a 5 at the seventh.
-    """
-    return rounded(results.withColumns({
+def shown(results: DataFrame) -> DataFrame:
+    """Window bounds as text, doubles rounded."""
+    return rounded_results(results.withColumns({
         "window_start": iso_instant(F.col("window_start")),
         "window_end": iso_instant(F.col("window_end")),
-    }), 9)
+    }))
 
 
 # --- tables ----------------------------------------------------------------
@@ -430,7 +436,7 @@ def all_messages(spark, sf_dir) -> DataFrame:
 
 @query
 def result_message_fields(spark, sf_dir):
-    return rounded(parse_messages(all_messages(spark, sf_dir)), 9)
+    return rounded_results(parse_messages(all_messages(spark, sf_dir)))
 
 
 @query
@@ -470,7 +476,8 @@ def stream_traffic_sliding(spark, sf_dir):
 
 @query
 def stream_pollution(spark, sf_dir):
-    return rounded(_streamed(spark, sf_dir, ["pollution"]).drop("distinct_cars_count"), 9)
+    return rounded_results(
+        _streamed(spark, sf_dir, ["pollution"]).drop("distinct_cars_count"))
 
 
 @query
@@ -480,7 +487,7 @@ def stream_union(spark, sf_dir):
     start_union(
         spark, records, ["traffic", "pollution"], f"lanewatch/job-{uuid.uuid4().hex}",
         "parquet", {"path": out}, available_now=True).awaitTermination()
-    return rounded(result_table(spark, out), 9)
+    return rounded_results(result_table(spark, out))
 
 
 # --- map features ----------------------------------------------------------
