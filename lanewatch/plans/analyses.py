@@ -51,15 +51,17 @@ def traffic(
 ) -> DataFrame:
     """Distinct vehicles per window and place.
 
-    ``exact`` first keeps one row per window, place and vehicle.  That shuffle
-    spreads by vehicle, so a crowded place is counted by many tasks, and in a
-    stream the state is one small entry per vehicle instead of a growing set
-    per place.  ``approx`` keeps one fixed-size sketch per window and place.
+    ``exact`` first groups by window, place and vehicle, then counts the groups.
+    Repeated sightings collapse before the first shuffle, and that shuffle
+    spreads by vehicle: neither a crowded place nor one chatty vehicle ends up
+    in one task, and a stream's state is one small entry per vehicle instead
+    of a growing set per place.  ``approx`` keeps one fixed-size sketch per
+    window and place.
     ``salts`` is for place tables too large to broadcast; see ``radius_join``.
     """
     matched = match_to_places(positions, places, spec, salts).withColumn("window", spec.column())
     if mode == "exact":
-        seen = matched.select(*KEYS, "vehicle_id").dropDuplicates([*KEYS, "vehicle_id"])
+        seen = matched.groupBy(*KEYS, "vehicle_id").agg(F.count(F.lit(1)).alias("sightings"))
         counted = seen.groupBy(*KEYS).agg(F.count("vehicle_id").alias("distinct_cars_count"))
     elif mode == "approx":
         counted = matched.groupBy(*KEYS).agg(

@@ -4,8 +4,10 @@ A capture has no marks at which to cut it: a record's place follows from the
 lengths of all before it.  So each range first looks for an offset from which
 record headers chain plausibly through to its end.  The chains are then
 compared: where every range begins at the offset at which the one before it
-ended, starting behind the file header, the cut is proven right.  A file for
-which that fails is read from its start by one task instead.
+ended, starting behind the file header, the cut is proven right.  Ranges that
+do not fit, for instance because they begin inside a capture that was itself
+sent over the network, are walked once more from where they must begin.  Only
+a file that does not fit together even then is read from its start by one task.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ def capture_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _range_tasks():
-    """The two functions that run per byte range.
+    """The functions that run per byte range.
 
     They are made inside a function, so that they travel to the workers whole
     and this package need not be installed there.
@@ -39,7 +41,6 @@ def _range_tasks():
         b"\x4d\x3c\xb2\xa1": ("<", 1_000_000_000), b"\xa1\xb2\x3c\x4d": (">", 1_000_000_000),
     }
     file_header, record_header = 24, 16
-    ten_years = 315_360_000
 
     def open_file(path):
         from pyarrow import fs
@@ -57,48 +58,74 @@ def _range_tasks():
         snap, link = struct.unpack(order + "II", head[16:24])
         return struct.Struct(order + "IIII"), per_second, snap or 262_144, link & 0xFFFF
 
-    def probe(batches):
-        """Where a range's records begin and end, and how many there are."""
+    def load(path, start, stop):
+        """The bytes of a range, and of a header that reaches past its end."""
+        with open_file(path) as file:
+            header, per_second, snap, _ = read_header(file, path)
+            file.seek(start)
+            return file.read(stop - start + record_header), header, per_second, snap
+
+    def chain(data, end, header, at, plausible):
+        """Follow record lengths to the end: where that leads, over how many records.
+
+        None as soon as a record is not plausible.
+        """
+        records = 0
+        while at < end and at + record_header <= len(data):
+            _, part, kept, sent = header.unpack_from(data, at)
+            if not plausible(part, kept, sent):
+                return None
+            at += record_header + kept
+            records += 1
+        return at, records
+
+    def table(found):
         import pandas as pd
 
+        columns = ["path", "split", "stop", "length", "first", "after", "records"]
+        return pd.DataFrame(found, columns=columns).astype({"first": "Int64", "after": "Int64"})
+
+    def probe(batches):
+        """Where a range's records seem to begin and end, and how many there are."""
         for ranges in batches:
             found = []
-            for path, number, start, stop in ranges[["path", "split", "start", "stop"]].itertuples(
-                    index=False):
-                with open_file(path) as file:
-                    header, per_second, snap, _ = read_header(file, path)
-                    base = file.read(record_header)
-                    epoch = header.unpack(base)[0] if len(base) == record_header else 0
-                    start = max(int(start), file_header)
-                    file.seek(start)
-                    data = file.read(int(stop) - start + record_header)
-                end = int(stop) - start
-
-                def chain(at, trusted):
-                    records = 0
-                    while at < end and at + record_header <= len(data):
-                        seconds, part, kept, sent = header.unpack_from(data, at)
-                        if not trusted and (
-                            part >= per_second or kept > snap or kept > sent
-                            or abs(seconds - epoch) > ten_years
-                        ):
-                            return None
-                        at += record_header + kept
-                        records += 1
-                    return at, records
-
-                first = after = None
-                records = 0
+            for path, number, start, stop, length in ranges[
+                    ["path", "split", "start", "stop", "length"]].itertuples(index=False):
+                start, stop = max(int(start), file_header), int(stop)
+                data, header, per_second, snap = load(path, start, stop)
+                end = stop - start
+
+                def plausible(part, kept, sent):
+                    return part < per_second and 0 < kept <= snap and kept <= sent
+
+                result = (None, None, 0)
                 for at in range(1 if number == 0 else end):
-                    hit = chain(at, number == 0)
+                    test = plausible if number else (lambda *_: True)
+                    hit = chain(data, end, header, at, test)
                     if hit and hit[1]:
-                        first, (after, records) = start + at, hit
-                        after += start
+                        result = (start + at, start + hit[0], hit[1])
                         break
-                found.append((path, number, first, after, records))
-            yield pd.DataFrame(
-                found, columns=["path", "split", "first", "after", "records"]
-            ).astype({"first": "Int64", "after": "Int64"})
+                found.append((path, number, stop, length, *result))
+            yield table(found)
+
+    def mend(batches):
+        """Ranges that do not begin where the one before ended, walked from there."""
+        columns = ["path", "split", "stop", "length", "first", "after", "records", "reached", "fits"]
+        for ranges in batches:
+            found = []
+            for path, number, stop, length, first, after, records, reached, fits in ranges[
+                    columns].itertuples(index=False):
+                reached, stop = int(reached), int(stop)
+                result = (None, None, 0)
+                if fits and records:
+                    result = (int(first), int(after), records)
+                elif not fits and reached < stop:
+                    data, header, _, _ = load(path, reached, stop)
+                    at, records = chain(data, stop - reached, header, 0, lambda *_: True)
+                    if records:
+                        result = (reached, reached + at, records)
+                found.append((path, number, stop, length, *result))
+            yield table(found)
 
     def read(batches):
         """The frames of a range, numbered on from the frames before it."""
@@ -135,7 +162,7 @@ def _range_tasks():
                     if rows:
                         yield pd.DataFrame(rows, columns=names)
 
-    return probe, read
+    return probe, mend, read
 
 
 def read_captures(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
@@ -155,32 +182,37 @@ def read_captures(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES
     })
     count = ranges.count()
     tasks = max(1, min(count, 100_000))
-    probe, read = _range_tasks()
-    probed = ranges.repartition(tasks, "path", "split").mapInPandas(
-        probe, "path string, split long, first long, after long, records long"
-    )
+    probe, mend, read = _range_tasks()
+    shape = ("path string, split long, stop long, length long,"
+             " first long, after long, records long")
+    probed = ranges.repartition(tasks, "path", "split").mapInPandas(probe, shape)
 
-    # One row per range from here to the second read, a few bytes each.
+    # One row per range from here to the last read, a few bytes each.
     in_file = Window.partitionBy("path").orderBy("split")
     before = in_file.rowsBetween(Window.unboundedPreceding, -1)
-    reached = F.coalesce(F.max("after").over(before), F.lit(24))
-    # A range without a record lies inside one, or in a cut-off end of the file.
-    follows = F.when(F.col("records") > 0, F.col("first") == F.col("reached")).otherwise(
-        (F.col("reached") >= F.col("stop")) | (F.col("reached") + 16 > F.col("length")))
-    checked = (
-        probed.join(ranges, ["path", "split"])
-        .withColumns({
-            "reached": reached,
-            "before": F.coalesce(F.sum("records").over(before), F.lit(0)),
-        })
-        .withColumn("proven", F.every(follows).over(Window.partitionBy("path")))
-    )
-    in_ranges = checked.filter(F.col("proven") & (F.col("records") > 0)).select(
-        "path", "first", "stop", "before", "split")
-    whole = checked.filter(~F.col("proven") & (F.col("split") == 0)).select(
-        "path", F.lit(24).cast("long").alias("first"), F.col("length").alias("stop"),
-        F.lit(0).cast("long").alias("before"), "split")
-    return (
-        in_ranges.unionByName(whole).repartition(tasks, "path", "split")
-        .mapInPandas(read, CAPTURED_FRAME)
+
+    def compared(found: DataFrame) -> DataFrame:
+        """Add where the ranges before reached, and whether this one goes on from there.
+
+        A range without a record lies inside one, or in a cut-off end of the file.
+        """
+        fits = F.when(F.col("records") > 0, F.col("first") == F.col("reached")).otherwise(
+            (F.col("reached") >= F.col("stop")) | (F.col("reached") + 16 > F.col("length")))
+        reached = F.coalesce(F.max("after").over(before), F.lit(24).cast("long"))
+        return found.withColumn("reached", reached).withColumn("fits", fits)
+
+    mended = compared(probed).repartition(tasks, "path", "split").mapInPandas(mend, shape)
+    checked = compared(mended).withColumns({
+        "before": F.coalesce(F.sum("records").over(before), F.lit(0).cast("long")),
+        "proven": F.every("fits").over(Window.partitionBy("path")),
+    })
+    proven = F.col("proven")
+    tasks_to_read = checked.filter(
+        F.when(proven, F.col("records") > 0).otherwise(F.col("split") == 0)
+    ).select(
+        "path", "split",
+        F.when(proven, F.col("first")).otherwise(24).alias("first"),
+        F.when(proven, F.col("stop")).otherwise(F.col("length")).alias("stop"),
+        F.when(proven, F.col("before")).otherwise(0).alias("before"),
     )
+    return tasks_to_read.repartition(tasks, "path", "split").mapInPandas(read, CAPTURED_FRAME)

@@ -174,13 +174,25 @@ def test_captures_inside_captures_do_not_mislead(spark, tmp_path, split_bytes):
     assert len(got) == len(frames)
 
 
-def test_implausible_times_are_still_read_whole(spark, tmp_path):
-    """No chain is found in later ranges, so the file is read from its start."""
-    seconds = [1_700_000_000 if i < 3 else 5 + i for i in range(60)]
+def test_a_clock_that_jumps(spark, tmp_path):
+    seconds = [5 + i if i < 3 else 1_700_000_000 - i for i in range(60)]
     frames = [bytes([i]) * 50 for i in range(60)]
     (tmp_path / "x-y.pcap").write_bytes(capture(frames, seconds=seconds))
     got = read_back(spark, tmp_path, 300)
-    assert [got[("x-y.pcap", i + 1)][1] for i in range(60)] == frames
+    assert [got[("x-y.pcap", i + 1)] for i in range(60)] == [
+        (s + 0.25, f) for s, f in zip(seconds, frames)]
+
+
+@pytest.mark.parametrize("bad", [range(20, 22), range(20, 60)])
+def test_implausible_records_are_read_all_the_same(spark, tmp_path, bad):
+    """Two records that claim to be longer than they were sent, or all from one on."""
+    data = capture([])
+    frames = [bytes([65 + i]) * 50 for i in range(60)]
+    for i, frame in enumerate(frames):
+        data += struct.pack("<IIII", 1_700_000_000 + i, 0, 50, 3 if i in bad else 50) + frame
+    (tmp_path / "x-y.pcap").write_bytes(data)
+    got = read_back(spark, tmp_path, 300)
+    assert [got[("x-y.pcap", i + 1)][1] for i in range(60)] == frames and len(got) == 60
 
 
 def test_cut_off_last_frame(spark, tmp_path):
