@@ -17,16 +17,16 @@ from lanewatch.session import build_session  # noqa: E402
 from workload.queries import queries  # noqa: E402
 
 HEADLINE = (
-    "filter_conjunction", "sort_multi", "count_filtered_rows",
-    "group_profile_stats", "group_profile_single_pass", "group_median_approx",
+    "filter_conjunction", "sort_multi", "count_rows",
+    "group_profile", "group_profile_single_pass", "group_median_approx",
     "group_profile_many_groups", "numeric_validation",
     "packet_decode", "packet_filter_sort", "packet_profile", "packet_capture_scan",
     "fcd_xml_ingest", "emission_xml_ingest", "json_decode_route",
-    "radius_join_places", "radius_join_many_places",
+    "radius_join", "radius_join_grid",
     "traffic_tumbling", "traffic_sliding", "traffic_approx",
     "pollution_tumbling", "pollution_sliding", "pollution_null_as_zero",
     "stream_traffic", "stream_pollution", "stream_union",
-    "result_message_fields", "map_features",
+    "result_messages", "features",
 )
 
 

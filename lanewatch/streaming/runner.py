@@ -25,14 +25,30 @@ def start_stream(
     sink_format: str,
     sink_options: dict[str, str],
     available_now: bool = False,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Append messages to a sink; a window is written once, when it is closed."""
+    """Append messages to a sink; a window is written once, when it is closed.
+
+    ``state_partitions`` is the number of state partitions of a first start; a
+    restart keeps what its checkpoint says.  The stream takes a copy of the
+    session's settings, so other queries are not affected.
+    """
     writer = (
         messages.writeStream.queryName(name).outputMode("append")
         .format(sink_format).options(**sink_options)
         .option("checkpointLocation", checkpoint)
     )
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    if state_partitions is None:
+        return writer.start()
+    conf = messages.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
 
 
 def start_analyses(
@@ -45,6 +61,7 @@ def start_analyses(
     spec: WindowSpec = WindowSpec(),
     topics: dict[str, str] | None = None,
     available_now: bool = False,
+    state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """One stream per analysis, each reading only its own topic.
 
@@ -57,7 +74,7 @@ def start_analyses(
         messages = result_messages(analysis(read_topic(topic), topic, spec), name)
         started.append(start_stream(
             messages, name, checkpoint_path(spark, job, name),
-            sink_format, sink_options(name), available_now,
+            sink_format, sink_options(name), available_now, state_partitions,
         ))
     return started
 
@@ -72,12 +89,13 @@ def start_union(
     spec: WindowSpec = WindowSpec(),
     topics: dict[str, str] | None = None,
     available_now: bool = False,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """All analyses in one stream with one sink."""
     messages = analyse_records(records, names, spec, topics)
     return start_stream(
         messages, job, checkpoint_path(spark, job, "union"),
-        sink_format, sink_options, available_now,
+        sink_format, sink_options, available_now, state_partitions,
     )
 
 

@@ -32,7 +32,8 @@ def record_file(spark, folder, rows):
 def run(spark, source, out, job, spec=WindowSpec(), names=("traffic",)):
     streams = start_analyses(
         spark, lambda topic: record_files(spark, source, maxFilesPerTrigger="1"), names, job,
-        "parquet", lambda name: {"path": f"{out}/{name}"}, spec, available_now=True)
+        "parquet", lambda name: {"path": f"{out}/{name}"}, spec, available_now=True,
+        state_partitions=3)
     for stream in streams:
         stream.awaitTermination()
     return streams
@@ -62,6 +63,9 @@ def test_late_vehicles(spark, tmp_path, job):
     assert windows(spark, f"{out}/traffic") == [("00:00:00", 2), ("00:02:00", 3)]
     assert late_rows(streams[0]) >= 1
     assert streams[0].name == "traffic"
+    operators = streams[0].recentProgress[-1].stateOperators
+    assert {o.numShufflePartitions for o in operators} == {3}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
 
 
 def test_a_restart_resumes(spark, tmp_path, job):

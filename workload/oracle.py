@@ -240,9 +240,9 @@ def oracle_sql() -> dict[str, str]:
             " and l_discount < 0.05::double",
         "sort_multi":
             f"select {_ORDER} from orders order by o_orderstatus, o_totalprice desc nulls last",
-        "count_filtered_rows":
+        "count_rows":
             "select count(*) as count from lineitem where l_quantity > 10 and l_linestatus = 'O'",
-        "group_profile_stats":
+        "group_profile":
             f"select l_returnflag, l_linestatus, {_profile(['l_quantity', 'l_extendedprice'])}"
             " from lineitem group by all",
         "group_profile_single_pass":
@@ -313,7 +313,7 @@ def oracle_sql() -> dict[str, str]:
             f"with {_FEED} select id as key, 'FCD' as topic, ms as timestamp, id as \"vehicleId\","
             " round(x, 6) as x, round(y, 6) as y, slope, 'lane_' || (event_id % 13) as lane,"
             " true as has_slope from feed",
-        "required_event_fields":
+        "required_fields":
             f"{_BROKEN} select id as vehicle_id, round(y, 6) as vehicle_lat,"
             " round(x, 6) as vehicle_lon, ms as event_time from sent where whole",
         "malformed_records":
@@ -324,11 +324,11 @@ def oracle_sql() -> dict[str, str]:
             f"with {_FEED} select event_id,"
             f" round({_distance('y', 'x', 'p.lat', 'p.lon')}, 4) as distance_m"
             " from feed join loc p on event_id % 8 = p.idx",
-        "radius_join_places":
+        "radius_join":
             f"with {_FEED} select event_id, p.name,"
             f" round({_distance('y', 'x', 'p.lat', 'p.lon')}, 4) as distance_m from feed"
             f" join loc p on {_distance('y', 'x', 'p.lat', 'p.lon')} <= 200",
-        "radius_join_many_places":
+        "radius_join_grid":
             f"with {_FEED}, spots as (select c_custkey,"
             " 43.30::double + (c_custkey*37 % 1000)::double*0.00005::double as lat,"
             " 21.85::double + (c_custkey*91 % 1000)::double*0.0001::double as lon from customer)"
@@ -343,7 +343,7 @@ def oracle_sql() -> dict[str, str]:
         "pollution_tumbling": _pollution(),
         "pollution_sliding": _pollution(sliding=True),
         "pollution_null_as_zero": _pollution(as_zero=True),
-        "result_message_fields": f"with {_results(rounded=True)} select * from results",
+        "result_messages": f"with {_results(rounded=True)} select * from results",
         "result_message_keys":
             f"with {_results()} select analysis_type || '/' || window_start || '/' || window_end"
             " || '/' || location_x || '/' || location_y as key from results",
@@ -353,14 +353,14 @@ def oracle_sql() -> dict[str, str]:
         "stream_pollution": _pollution(streamed=True),
         "stream_union": f"with {_results(streamed=True, rounded=True)} select * from results",
 
-        "usable_result_rows":
+        "usable_results":
             f"with {_results(rounded=True)} select window_start, location_x, location_y,"
             " distinct_cars_count, avg_co2, analysis_type from results",
-        "colour_scale_bounds":
+        "scale_bounds":
             f"with {_results()} select round(traffic_low, 6) as traffic_low,"
             " round(traffic_high, 6) as traffic_high, round(pollution_low, 6) as pollution_low,"
             f" round(pollution_high, 6) as pollution_high from ({_BOUNDS})",
-        "map_centre_point":
+        "map_centre":
             f"with {_results()} select round(avg(location_x), 6) as centre_lat,"
             " round(avg(location_y), 6) as centre_lon from results",
         "place_names":
@@ -385,7 +385,7 @@ def oracle_sql() -> dict[str, str]:
             " location_y, case analysis_type when 'traffic' then 'Traffic' else 'Pollution' end"
             " as label_kind, distinct_cars_count::varchar as label_distinct_cars,"
             f" {_LABELS} from results {_NAMED}",
-        "map_features":
+        "features":
             f"{_COLOURED} select analysis_type, window_start as time, location_x, location_y,"
             " name as place_name, colour, 'Polygon' as shape, 65 as ring_points,"
             " window_start as feature_time, colour as fill,"

@@ -50,9 +50,14 @@ LINE_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_qu
                 "l_extendedprice", "l_discount")
 
 
-def query(function: Query) -> Query:
-    _QUERIES[function.__name__] = function
-    return function
+def query(name: str) -> Callable[[Query], Query]:
+    """Register a query under a name."""
+
+    def register(function: Query) -> Query:
+        _QUERIES[name] = function
+        return function
+
+    return register
 
 
 def queries() -> dict[str, Query]:
@@ -84,29 +89,29 @@ def shown(results: DataFrame) -> DataFrame:
 
 # --- tables ----------------------------------------------------------------
 
-@query
+@query("filter_eq_ci")
 def filter_eq_ci(spark, sf_dir):
     return where_equals(table(spark, sf_dir, "lineitem"), "l_returnflag", "a").select(*LINE_COLUMNS)
 
 
-@query
+@query("filter_eq_integer")
 def filter_eq_integer(spark, sf_dir):
     return where_equals(table(spark, sf_dir, "lineitem"), "l_linenumber", "3").select(*LINE_COLUMNS)
 
 
-@query
+@query("filter_eq_missing")
 def filter_eq_missing(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").withColumn(
         "l_returnflag", F.nullif("l_returnflag", F.lit("N")))
     return where_equals(lines, "l_returnflag", "nan").select(*LINE_COLUMNS)
 
 
-@query
+@query("filter_gt")
 def filter_gt(spark, sf_dir):
     return where_greater(table(spark, sf_dir, "lineitem"), "l_quantity", 30).select(*LINE_COLUMNS)
 
 
-@query
+@query("filter_gt_text")
 def filter_gt_text(spark, sf_dir):
     text = F.when(F.col("l_linenumber") % 3 == 0, "n/a").otherwise(
         F.concat(F.lit(" "), F.col("l_quantity").cast("string")))
@@ -115,24 +120,24 @@ def filter_gt_text(spark, sf_dir):
         "l_orderkey", "l_linenumber", "quantity_text")
 
 
-@query
+@query("filter_lt")
 def filter_lt(spark, sf_dir):
     return where_less(table(spark, sf_dir, "orders"), "o_totalprice", 100000).select(*ORDER_COLUMNS)
 
 
-@query
+@query("filter_conjunction")
 def filter_conjunction(spark, sf_dir):
     terms = "l_returnflag=r, l_quantity>10,l_discount<0.05"
     return filter_terms(table(spark, sf_dir, "lineitem"), terms).select(*LINE_COLUMNS)
 
 
-@query
+@query("sort_multi")
 def sort_multi(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
     return sort_terms(orders, "o_orderstatus.1,o_totalprice.0")
 
 
-@query
+@query("count_rows")
 def count_filtered_rows(spark, sf_dir):
     kept = filter_terms(table(spark, sf_dir, "lineitem"), "l_quantity>10,l_linestatus=o")
     return count_rows(sort_terms(kept, "l_quantity.0"))
@@ -142,21 +147,21 @@ def shown_profile(df: DataFrame) -> DataFrame:
     return rounded(df, 4)
 
 
-@query
+@query("group_profile")
 def group_profile_stats(spark, sf_dir):
     return shown_profile(group_profile(
         table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"],
         ["l_quantity", "l_extendedprice"]))
 
 
-@query
+@query("group_profile_single_pass")
 def group_profile_single_pass(spark, sf_dir):
     return shown_profile(group_profile(
         table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"],
         ["l_quantity", "l_extendedprice"], median="single_pass"))
 
 
-@query
+@query("group_profile_null_keys")
 def group_profile_null_keys(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").withColumns({
         "flag": F.nullif("l_returnflag", F.lit("N")),
@@ -166,20 +171,20 @@ def group_profile_null_keys(spark, sf_dir):
     return shown_profile(group_profile(lines, ["flag"], ["discounted", "nothing"]))
 
 
-@query
+@query("group_profile_many_groups")
 def group_profile_many_groups(spark, sf_dir):
     return shown_profile(group_profile(
         table(spark, sf_dir, "lineitem"), ["l_suppkey"], ["l_quantity", "l_linenumber"]))
 
 
-@query
+@query("group_profile_one_group")
 def group_profile_one_group(spark, sf_dir):
     """Every line in one group."""
     lines = table(spark, sf_dir, "lineitem").withColumn("everything", F.lit(1))
     return shown_profile(group_profile(lines, ["everything"], ["l_extendedprice"]))
 
 
-@query
+@query("group_median_approx")
 def group_median_approx(spark, sf_dir):
     """The sketch's median lies between the 0.45 and 0.55 quantiles."""
     keys = ["l_returnflag", "l_linestatus"]
@@ -193,7 +198,7 @@ def group_median_approx(spark, sf_dir):
         *keys, "l_extendedprice_count", inside.alias("median_close"))
 
 
-@query
+@query("numeric_validation")
 def numeric_validation(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").withColumn(
         "mixed", F.when(F.col("c_custkey") % 2 == 0, F.col("c_acctbal").cast("string"))
@@ -202,7 +207,7 @@ def numeric_validation(spark, sf_dir):
         customers, ["c_name", "c_acctbal", "c_nationkey", "c_mktsegment", "mixed"])
 
 
-@query
+@query("run_metrics")
 def run_metrics(spark, sf_dir):
     """Rows read, filtered out and written by one filter job."""
     read, rows_in = observe_rows(
@@ -217,7 +222,7 @@ def run_metrics(spark, sf_dir):
         F.lit(written).cast("long").alias("rows_written"))
 
 
-@query
+@query("csv_round_trip")
 def csv_round_trip(spark, sf_dir):
     path = working_path(spark, "csv")
     lines = table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS).withColumn(
@@ -233,17 +238,17 @@ def packets(spark, sf_dir) -> DataFrame:
     return decode_packets(feed.packet_frames(table(spark, sf_dir, "events")))
 
 
-@query
+@query("packet_decode")
 def packet_decode(spark, sf_dir):
     return rounded(packets(spark, sf_dir))
 
 
-@query
+@query("packet_labels")
 def packet_labels(spark, sf_dir):
     return summarise_by_label(packets(spark, sf_dir))
 
 
-@query
+@query("packet_sequence")
 def packet_sequence(spark, sf_dir):
     frames = feed.packet_frames(table(spark, sf_dir, "events"))
     placed = frames.select(
@@ -252,7 +257,7 @@ def packet_sequence(spark, sf_dir):
     return number_packets(placed, step=1 << 16).select("file_name", "packet_no", "offset")
 
 
-@query
+@query("packet_capture_scan")
 def packet_capture_scan(spark, sf_dir):
     """Captures written from the events, read back in small byte ranges."""
     folder = working_path(spark, "captures")
@@ -262,14 +267,14 @@ def packet_capture_scan(spark, sf_dir):
         "file_name", "packet_no", "timestamp", "protocol", "length", "src_port", "payload_len"))
 
 
-@query
+@query("packet_filter_sort")
 def packet_filter_sort(spark, sf_dir):
     kept = filter_terms(packets(spark, sf_dir), "protocol=tcp,length>80,dst_port=443")
     return sort_terms(kept, "src_ip.1,length.0").select(
         "file_name", "packet_no", "src_ip", "dst_ip", "dst_port", "length", "tcp_flags")
 
 
-@query
+@query("packet_profile")
 def packet_profile(spark, sf_dir):
     return shown_profile(group_profile(
         packets(spark, sf_dir), ["label", "protocol"], ["length", "payload_len", "ttl"],
@@ -284,39 +289,39 @@ def ingested_xml(spark, sf_dir, kind: str) -> DataFrame:
     return read_vehicle_xml(spark, folder, kind)
 
 
-@query
+@query("fcd_xml_ingest")
 def fcd_xml_ingest(spark, sf_dir):
     return rounded(ingested_xml(spark, sf_dir, "fcd"))
 
 
-@query
+@query("emission_xml_ingest")
 def emission_xml_ingest(spark, sf_dir):
     return rounded(ingested_xml(spark, sf_dir, "emission"))
 
 
-@query
+@query("timestep_counts")
 def timestep_counts(spark, sf_dir):
     return rows_per(ingested_xml(spark, sf_dir, "fcd"), "timestep")
 
 
-@query
+@query("record_total")
 def record_total(spark, sf_dir):
     return count_rows(ingested_xml(spark, sf_dir, "emission"))
 
 
-@query
+@query("json_decode_route")
 def json_decode_route(spark, sf_dir):
     records = feed.records(table(spark, sf_dir, "events"))
     return rounded(decode_records(records, EMISSIONS_TOPIC, "emission"))
 
 
-@query
+@query("route_topics")
 def route_topics(spark, sf_dir):
     records = feed.records(table(spark, sf_dir, "events"))
     return rows_per(route_topic(records, FCD_TOPIC), "topic", "key")
 
 
-@query
+@query("publish_records")
 def publish_records(spark, sf_dir):
     records = event_records(feed.fcd_events(table(spark, sf_dir, "events")), FCD_TOPIC)
 
@@ -342,13 +347,13 @@ def broken_records(spark, sf_dir) -> DataFrame:
         F.col("key"), damaged.alias("value"), F.lit(FCD_TOPIC).alias("topic"))
 
 
-@query
+@query("required_fields")
 def required_event_fields(spark, sf_dir):
     return rounded(positions_from_records(broken_records(spark, sf_dir)).withColumn(
         "event_time", F.unix_millis("event_time")))
 
 
-@query
+@query("malformed_records")
 def malformed_records(spark, sf_dir):
     return malformed_counts(decode_records(broken_records(spark, sf_dir), FCD_TOPIC, "fcd"))
 
@@ -360,7 +365,7 @@ def identified_positions(spark, sf_dir) -> DataFrame:
     return made.select("event_id", F.col("y").alias("vehicle_lat"), F.col("x").alias("vehicle_lon"))
 
 
-@query
+@query("haversine_pairs")
 def haversine_pairs(spark, sf_dir):
     """Each event's distance from one place."""
     idx = (F.col("event_id") % len(PLACES)).cast("int")
@@ -371,13 +376,13 @@ def haversine_pairs(spark, sf_dir):
         "event_id", F.round(distance, 4).alias("distance_m"))
 
 
-@query
+@query("radius_join")
 def radius_join_places(spark, sf_dir):
     joined = radius_join(identified_positions(spark, sf_dir), places_table(spark))
     return joined.select("event_id", "name", F.round("distance_m", 4).alias("distance_m"))
 
 
-@query
+@query("radius_join_grid")
 def radius_join_many_places(spark, sf_dir):
     """A dimension that grows with the data: a place per customer."""
     key = F.col("c_custkey")
@@ -392,17 +397,17 @@ def radius_join_many_places(spark, sf_dir):
 
 # --- analyses --------------------------------------------------------------
 
-@query
+@query("traffic_tumbling")
 def traffic_tumbling(spark, sf_dir):
     return shown(traffic(feed.positions(spark, sf_dir)))
 
 
-@query
+@query("traffic_sliding")
 def traffic_sliding(spark, sf_dir):
     return shown(traffic(feed.positions(spark, sf_dir), SLIDING))
 
 
-@query
+@query("traffic_approx")
 def traffic_approx(spark, sf_dir):
     """Whether the sketch is within 2, or 15 percent, of the exact count."""
     keys = ["window_start", "window_end", "location_x", "location_y"]
@@ -414,17 +419,17 @@ def traffic_approx(spark, sf_dir):
     return shown(exact.join(near, keys).select(*keys, close.alias("close_to_exact")))
 
 
-@query
+@query("pollution_tumbling")
 def pollution_tumbling(spark, sf_dir):
     return shown(pollution(feed.emissions(spark, sf_dir)))
 
 
-@query
+@query("pollution_sliding")
 def pollution_sliding(spark, sf_dir):
     return shown(pollution(feed.emissions(spark, sf_dir), SLIDING))
 
 
-@query
+@query("pollution_null_as_zero")
 def pollution_null_as_zero(spark, sf_dir):
     return shown(pollution(feed.emissions(spark, sf_dir), null_policy="as_zero"))
 
@@ -434,12 +439,12 @@ def all_messages(spark, sf_dir) -> DataFrame:
     return analyse_records(records, ["traffic", "pollution"])
 
 
-@query
+@query("result_messages")
 def result_message_fields(spark, sf_dir):
     return rounded_results(parse_messages(all_messages(spark, sf_dir)))
 
 
-@query
+@query("result_message_keys")
 def result_message_keys(spark, sf_dir):
     return all_messages(spark, sf_dir).select("key")
 
@@ -454,39 +459,40 @@ def _streamed(spark, sf_dir, names: list[str], spec: WindowSpec = WindowSpec())
         spark,
         lambda topic: feed.topic_records(feed.table_stream(spark, sf_dir, "events"), topic),
         names, job, "parquet", lambda name: {"path": f"{out}/{name}"}, spec,
-        available_now=True)
+        available_now=True, state_partitions=spark.sparkContext.defaultParallelism)
     for stream in started:
         stream.awaitTermination()
     return result_table(spark, f"{out}/{names[0]}")
 
 
-@query
+@query("stream_traffic")
 def stream_traffic(spark, sf_dir):
     return rounded(_streamed(spark, sf_dir, ["traffic"]).select(
         "window_start", "window_end", "location_x", "location_y", "distinct_cars_count",
         "analysis_type"))
 
 
-@query
+@query("stream_traffic_sliding")
 def stream_traffic_sliding(spark, sf_dir):
     return rounded(_streamed(spark, sf_dir, ["traffic"], SLIDING).select(
         "window_start", "window_end", "location_x", "location_y", "distinct_cars_count",
         "analysis_type"))
 
 
-@query
+@query("stream_pollution")
 def stream_pollution(spark, sf_dir):
     return rounded_results(
         _streamed(spark, sf_dir, ["pollution"]).drop("distinct_cars_count"))
 
 
-@query
+@query("stream_union")
 def stream_union(spark, sf_dir):
     out = working_path(spark, "results")
     records = feed.records(feed.table_stream(spark, sf_dir, "events"))
     start_union(
         spark, records, ["traffic", "pollution"], f"lanewatch/job-{uuid.uuid4().hex}",
-        "parquet", {"path": out}, available_now=True).awaitTermination()
+        "parquet", {"path": out}, available_now=True,
+        state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
     return rounded_results(result_table(spark, out))
 
 
@@ -504,24 +510,24 @@ def results(spark, sf_dir) -> DataFrame:
     return good.unionByName(copies)
 
 
-@query
+@query("usable_results")
 def usable_result_rows(spark, sf_dir):
     return rounded(usable_results(results(spark, sf_dir)).select(
         "window_start", "location_x", "location_y", "distinct_cars_count", "avg_co2",
         "analysis_type"), 9)
 
 
-@query
+@query("scale_bounds")
 def colour_scale_bounds(spark, sf_dir):
     return rounded(scale_bounds(usable_results(results(spark, sf_dir))))
 
 
-@query
+@query("map_centre")
 def map_centre_point(spark, sf_dir):
     return rounded(map_centre(usable_results(results(spark, sf_dir))))
 
 
-@query
+@query("place_names")
 def place_names(spark, sf_dir):
     """Names of places; every other minute lies a little off and has none."""
     moved = F.round(F.col("location_x") + F.lit(0.001), 6)
@@ -532,7 +538,7 @@ def place_names(spark, sf_dir):
     return named.groupBy("place_name").agg(F.count(F.lit(1)).alias("results"))
 
 
-@query
+@query("circle_rings")
 def circle_rings(spark, sf_dir):
     places = usable_results(results(spark, sf_dir)).select("location_x", "location_y").distinct()
     ring = circle_ring(F.col("location_x"), F.col("location_y"))
@@ -542,13 +548,13 @@ def circle_rings(spark, sf_dir):
         F.col("point")[1].alias("lat")), 9)
 
 
-@query
+@query("feature_colours")
 def feature_colours(spark, sf_dir):
     return with_colours(usable_results(results(spark, sf_dir))).select(
         "analysis_type", "window_start", "location_x", "location_y", "colour")
 
 
-@query
+@query("feature_labels")
 def feature_labels(spark, sf_dir):
     labelled = with_labels(usable_results(results(spark, sf_dir)))
     return labelled.select(
@@ -556,7 +562,7 @@ def feature_labels(spark, sf_dir):
         *(c for c in labelled.columns if c.startswith("label_")))
 
 
-@query
+@query("features")
 def map_features(spark, sf_dir):
     made = features(usable_results(results(spark, sf_dir)))
 
