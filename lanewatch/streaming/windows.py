@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 
@@ -29,3 +30,14 @@ class WindowSpec:
                 raise ValueError("a sliding window needs a slide")
             return F.window(event_time, self.length, self.slide)
         raise ValueError(f"unsupported window type: {self.kind!r}")
+
+    def pane(self) -> str | None:
+        """The slide, if every sliding window is made of whole slides; else None."""
+        if self.kind.lower() != "sliding" or not self.slide:
+            return None
+        try:
+            length, slide = pd.Timedelta(self.length), pd.Timedelta(self.slide)
+        except ValueError:  # a length such as months, which has no fixed size
+            return None
+        whole = slide > pd.Timedelta(0) and length % slide == pd.Timedelta(0)
+        return self.slide if whole else None

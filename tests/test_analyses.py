@@ -66,6 +66,37 @@ def test_means_over_nulls(spark):
     assert zero["avg_co2"] == 0.0 and zero["max_co2"] is None
 
 
+@pytest.mark.parametrize("policy", ["skip", "as_zero"])
+@pytest.mark.parametrize("length, slide", [("60 seconds", "10 seconds"), ("25 seconds", "10 seconds"),
+                                           ("1 minute", "20 seconds")])
+def test_sliding_means_equal_plain_grouping(spark, policy, length, slide):
+    """Per-slide sums, where they are used, change nothing but the order of adding."""
+    df = spark.range(300).select(
+        F.concat(F.lit("v"), F.col("id") % 9).alias("vehicle_id"),
+        F.lit(LAT).alias("vehicle_lat"), F.lit(LON).alias("vehicle_lon"),
+        F.timestamp_millis(F.lit(BASE) + (F.col("id") * 7919) % 200_000).alias("event_time"),
+        *(F.when(F.col("id") % (i + 2) != 0, F.col("id") * (i + 0.5)).alias(p)
+          for i, p in enumerate(POLLUTANTS)))
+    got = an.pollution(df, WindowSpec("sliding", length, slide), null_policy=policy)
+    plain = df.groupBy(F.window("event_time", length, slide)).agg(*(
+        (F.avg(p) if policy == "skip" else F.coalesce(F.sum(p), F.lit(0.0)) / F.count("*"))
+        .alias(f"avg_{p}") for p in POLLUTANTS), *(F.max(p).alias(f"max_{p}") for p in POLLUTANTS))
+    wanted = {r["window"]["start"]: r for r in plain.collect()}
+    rows = got.collect()
+    assert len(rows) == len(wanted)
+    for row in rows:
+        for name in [f"{part}_{p}" for part in ("avg", "max") for p in POLLUTANTS]:
+            assert row[name] == pytest.approx(wanted[row["window_start"]][name]), name
+
+
+def test_sliding_means_of_nothing(spark):
+    sliding = WindowSpec("sliding")
+    rows = an.pollution(emissions(spark, [None]), sliding).collect()
+    assert len(rows) == 6 and all(r["avg_co2"] is None and r["max_co2"] is None for r in rows)
+    rows = an.pollution(emissions(spark, [None]), sliding, null_policy="as_zero").collect()
+    assert all(r["avg_co2"] == 0.0 for r in rows)
+
+
 def test_unknown_settings_are_errors(spark):
     df = positions(spark, [("a", 0)])
     for call in (
