@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lanewatch.functions.times import millis_to_timestamp, simulation_millis
 from lanewatch.functions.values import decimal_attribute
@@ -69,14 +69,25 @@ def decode_records(
     return computed_once(route_topic(records, topic), {"data": parsed}, keep=[]).select("data.*")
 
 
-def malformed_counts(events: DataFrame) -> DataFrame:
-    """Decoded records in total, and how many lack a required field."""
+def _record_counts() -> list[Column]:
     lacking = F.lit(False)
     for name in REQUIRED:
         lacking = lacking | F.col(name).isNull()
-    return events.agg(
-        F.count(F.lit(1)).alias("records"), F.count_if(lacking).alias("malformed")
-    )
+    return [F.count(F.lit(1)).alias("records"), F.count_if(lacking).alias("malformed")]
+
+
+def malformed_counts(events: DataFrame) -> DataFrame:
+    """Decoded records in total, and how many lack a required field."""
+    return events.agg(*_record_counts())
+
+
+def observe_malformed(events: DataFrame, name: str) -> DataFrame:
+    """The same counts taken while the events pass by.
+
+    In a stream they stand in each progress report's ``observedMetrics`` under
+    the name, for every batch.
+    """
+    return events.observe(name, *_record_counts())
 
 
 def vehicle_positions(events: DataFrame) -> DataFrame:

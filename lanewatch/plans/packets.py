@@ -24,11 +24,12 @@ def capture_labels(file_name: Column) -> dict[str, Column]:
     }
 
 
-def decode_packets(frames: DataFrame) -> DataFrame:
+def decode_packets(frames: DataFrame, with_types: bool = False) -> DataFrame:
     """(file_name, packet_no, timestamp, link_type, frame) to the packet table.
 
     Narrow projections over the frame bytes: nothing is shuffled, no Python
-    runs, and columns that are not asked for are not decoded.
+    runs, and columns that are not asked for are not decoded.  ``with_types``
+    adds ``ethertype`` and ``ip_proto``, which tell ``OTHER`` and ``IP`` rows apart.
     """
     frame, ethernet = F.col("frame"), F.col("link_type") == fr.LINK_ETHERNET
     size, at, kind = F.length(frame), F.col("network_at"), F.col("network_type")
@@ -97,8 +98,10 @@ def decode_packets(frames: DataFrame) -> DataFrame:
         "payload_len": F.when(has_tcp, F.greatest(F.lit(0), size - transport - tcp_size))
         .when(has_udp, size - transport - 8).otherwise(0),
     }
+    types = [kind.cast("int").alias("ethertype"), proto.cast("int").alias("ip_proto")]
     return words.select(
-        *(columns[f.name].cast(f.dataType).alias(f.name) for f in PACKET.fields)
+        *(columns[f.name].cast(f.dataType).alias(f.name) for f in PACKET.fields),
+        *(types if with_types else []),
     )
 
 

@@ -110,6 +110,23 @@ def test_other_fields(decoded):
     assert decoded["tiny"]["src_mac"] is None
 
 
+def test_types_of_other_packets(spark):
+    frames = spark.createDataFrame(
+        [(n, 1, 0.0, 1, bytearray(CASES[n])) for n in ("unknown", "other_ip", "vlan", "tiny")],
+        "file_name string, packet_no long, timestamp double, link_type int, frame binary")
+    got = {r["file_name"]: (r["ethertype"], r["ip_proto"])
+           for r in decode_packets(frames, with_types=True).collect()}
+    assert got == {"unknown": (0x88B5, None), "other_ip": (0x0800, 47), "vlan": (0x0800, 6),
+                   "tiny": (None, None)}
+
+
+def test_only_wanted_columns_are_decoded(spark):
+    frames = spark.createDataFrame(
+        [], "file_name string, packet_no long, timestamp double, link_type int, frame binary")
+    plan = decode_packets(frames).select("length", "label")._jdf.queryExecution()
+    assert "regexp_replace" not in plan.optimizedPlan().toString()
+
+
 def test_file_name_labels(spark):
     names = ["benign-camera-1.pcap", "benign.pcap", "mirai-udp.pcap", "Benign-x-y.pcap"]
     frames = spark.createDataFrame(

@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 
 from lanewatch.places import FCD_TOPIC, PLACES
 from lanewatch.plans.analyses import traffic
-from lanewatch.plans.events import positions_from_records
-from lanewatch.plans.messages import parse_messages
+from lanewatch.plans.events import (
+    decode_records, observe_malformed, positions_from_records, vehicle_positions,
+)
+from lanewatch.plans.messages import result_messages
 from lanewatch.sources.topics import record_files, result_table
-from lanewatch.streaming.runner import late_rows, start_analyses, start_union
+from lanewatch.streaming.runner import (
+    checkpoint_path, late_rows, start_analyses, start_stream, start_union,
+)
 from lanewatch.streaming.windows import WindowSpec
 
 _, LAT, LON = PLACES[0]
@@ -68,6 +72,42 @@ def test_late_vehicles(spark, tmp_path, job):
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
 
 
+def test_late_vehicles_dropped_at_once(spark, tmp_path, job):
+    """With one stateful step the current watermark can be held against each row."""
+    setting = "spark.sql.streaming.statefulOperator.allowMultiple"
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for rows in FILES:
+        record_file(spark, source, rows)
+    spark.conf.set(setting, "false")
+    try:
+        positions = positions_from_records(record_files(spark, source, maxFilesPerTrigger="1"))
+        stream = start_stream(
+            result_messages(traffic(positions, mode="approx"), "traffic"), "approx",
+            checkpoint_path(spark, job, "traffic"), "parquet", {"path": out},
+            available_now=True)
+        stream.awaitTermination()
+    finally:
+        spark.conf.unset(setting)
+    assert windows(spark, out) == [("00:00:00", 1), ("00:02:00", 3)]
+    assert late_rows(stream) == 2
+
+
+def test_malformed_records_are_counted_per_batch(spark, tmp_path, job):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    record_file(spark, source, [("a", 1_000), ("b", None)])
+    spark.read.parquet(source).withColumn("value", F.lit("{cut")).coalesce(1).write.parquet(
+        source + "2")
+    spark.read.parquet(source, source + "2").coalesce(1).write.parquet(source + "3")
+    seen = observe_malformed(
+        decode_records(record_files(spark, source + "3"), FCD_TOPIC, "fcd"), "fcd")
+    stream = start_stream(
+        result_messages(traffic(vehicle_positions(seen)), "traffic"), "seen",
+        checkpoint_path(spark, job, "seen"), "parquet", {"path": out}, available_now=True)
+    stream.awaitTermination()
+    first = stream.recentProgress[0].observedMetrics["fcd"]
+    assert (first["records"], first["malformed"]) == (4, 3)
+
+
 def test_a_restart_resumes(spark, tmp_path, job):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     record_file(spark, source, [("a", 1_000), ("b", 2_000)])
