@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as driver
 from compare import connect, differences
+from workload import oracle, queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = queries.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,7 @@ def con():
 
 def test_every_query_has_its_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(driver.queries()) and set(SQL) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
