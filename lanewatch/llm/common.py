@@ -2,16 +2,44 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import lanewatch
 from lanewatch.session import pin_utc, working_path
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the driver was started.
+
+    Spark's own file server hands the package out, once per application.
+    """
+    context = spark.sparkContext
+    root = os.path.dirname(os.path.abspath(lanewatch.__file__))
+    if context.applicationId in _SHIPPED or not os.path.isdir(root):
+        return
+    packed = os.path.join(tempfile.mkdtemp(prefix="lanewatch-"), "lanewatch.zip")
+    with zipfile.ZipFile(packed, "w") as archive:
+        for folder, _, files in sorted(os.walk(root)):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    whole = os.path.join(folder, name)
+                    archive.write(whole, os.path.relpath(whole, os.path.dirname(root)))
+    context.addPyFile(packed)
+    _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -10,7 +10,12 @@ from lanewatch.llm.common import table
 from lanewatch.llm.exact_dedup import copy_report
 from lanewatch.llm.jaccard_join import near_groups
 from lanewatch.llm.mixing import mix_sources
+from lanewatch.llm.nearest import nearest_neighbours
 from lanewatch.llm.packing import pack_documents
+from lanewatch.llm.page_diff import extract_main_text
+from lanewatch.llm.pii import find_personal_data
+from lanewatch.llm.tool_calls import SCHEMAS, calls_of, link_tool_calls, results_of
+from lanewatch.llm.toxicity import toxicity_report
 
 #: The public vocabulary file of the packing query.
 PACKING_VOCABULARY = "word_bpe_49k.json"
@@ -22,6 +27,19 @@ def vocabulary_path(name: str = PACKING_VOCABULARY) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_pii_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
+def op2_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return link_tool_calls(calls_of(conversations), results_of(conversations), SCHEMAS)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copy_report(table(spark, sf_dir, "documents"))
 
@@ -38,8 +56,18 @@ def op8_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op9_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op10_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op5_exact_dedup, op6_poisson_mixing, op7_ngram_jaccard, op8_hilbert_packing]
+    own = [
+        op1_pii_offsets, op2_toxicity_chain, op4_tool_calls, op5_exact_dedup, op6_poisson_mixing,
+        op7_ngram_jaccard, op8_hilbert_packing, op9_page_differencing, op10_multiprobe_lsh]
     return {function.__name__: function for function in own}
 
 
