@@ -54,7 +54,7 @@ def shuffles_dropped(spark: SparkSession):
         spark.conf.set(_CLEANUP, before)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """The rows as a table in the shared folder: later reads never repeat the work.
 
     The folder is the one that ``spark.checkpoint.dir`` names, so a lost
@@ -63,7 +63,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = working_path(spark, label)
     with shuffles_dropped(spark):
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -14,6 +14,7 @@ from lanewatch.llm.nearest import nearest_neighbours
 from lanewatch.llm.packing import pack_documents
 from lanewatch.llm.page_diff import extract_main_text
 from lanewatch.llm.pii import find_personal_data
+from lanewatch.llm.suffix_dedup import remove_repeats
 from lanewatch.llm.tool_calls import SCHEMAS, calls_of, link_tool_calls, results_of
 from lanewatch.llm.toxicity import toxicity_report
 
@@ -35,6 +36,10 @@ def op2_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     return link_tool_calls(calls_of(conversations), results_of(conversations), SCHEMAS)
@@ -66,8 +71,8 @@ def op10_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
-        op1_pii_offsets, op2_toxicity_chain, op4_tool_calls, op5_exact_dedup, op6_poisson_mixing,
-        op7_ngram_jaccard, op8_hilbert_packing, op9_page_differencing, op10_multiprobe_lsh]
+        op1_pii_offsets, op2_toxicity_chain, op3_suffix_dedup, op4_tool_calls, op5_exact_dedup,
+        op6_poisson_mixing, op7_ngram_jaccard, op8_hilbert_packing, op9_page_differencing, op10_multiprobe_lsh]
     return {function.__name__: function for function in own}
 
 

@@ -29,14 +29,22 @@ TERMS_PER_CATEGORY = 300
 FOLDS = 5
 #: A word is looked at if its log-likelihood ratio reaches this (1 in 1000 by chance is 10.8).
 LEAST_RATIO = 12.0
+#: And if it changes the odds of a category by this factor; weaker words tell of length mostly.
+LEAST_ODDS = 3.0
 
 CATEGORIES = ("junk", "toxic", "toxic_junk")
 
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+#: Letters of a word that count as a term of their own: inflected and compound forms share them.
+STEM = 5
+
+
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """The words of a text in lower case, and the beginnings of the longer ones, marked ``*``."""
+    words = _WORD.findall(text.lower())
+    return words + [w[:STEM] + "*" for w in words if len(w) > STEM]
 
 
 def chain_labels(labels: DataFrame) -> DataFrame:
@@ -71,8 +79,9 @@ def _word_counts(texts: pd.Series) -> pd.Series:
     return texts.map(lambda text: dict(Counter(words_of(text))))
 
 
-def useful_words(counted: DataFrame, categories: tuple[str, ...], most: int) -> list[str]:
-    """The words whose presence tells most about a category, at most ``most`` for each."""
+def useful_words(counted: DataFrame, categories: tuple[str, ...],
+                 most: int) -> dict[str, list[str]]:
+    """For each category the words whose presence tells most about it, at most ``most``."""
     totals = counted.agg(F.count("*").alias("n"), *(
         F.sum(c).alias(c) for c in categories)).first()
     words = (
@@ -90,16 +99,19 @@ def useful_words(counted: DataFrame, categories: tuple[str, ...], most: int) ->
         return 2 * (term(with_word, rows * rate) + term(clean, rows * (1 - rate))
                     + term(other, left * rate) + term(rest, left * (1 - rate)))
 
-    found: dict[str, None] = {}
+    found: dict[str, list[str]] = {category: [] for category in categories}
     for category in categories:
         hits, rows = float(totals[category] or 0), float(totals["n"])
         if not 0 < hits < rows:
             continue
-        ranked = words.select("word", log_likelihood(
-            F.col(category).cast("double"), F.col("_n").cast("double"), hits, rows).alias("g"))
+        seen, of_all = F.col(category).cast("double"), F.col("_n").cast("double")
+        odds = F.log((seen + 0.5) / (of_all - seen + 0.5)) - F.log(
+            (F.lit(hits) - seen + 0.5) / (F.lit(rows - hits) - of_all + seen + 0.5))
+        ranked = words.where(F.abs(odds) >= float(np.log(LEAST_ODDS))).select(
+            "word", log_likelihood(seen, of_all, hits, rows).alias("g"))
         best = ranked.where(F.col("g") >= LEAST_RATIO).orderBy(F.desc("g"), "word").limit(most)
-        found |= dict.fromkeys(r["word"] for r in best.collect())
-    return list(found)
+        found[category] = [r["word"] for r in best.collect()]
+    return found
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0,
@@ -138,12 +150,17 @@ def predict(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Chain:
-    """Words looked at, and one linear model per category, in the order of the chain."""
+    """Words looked at by each category, and its linear model, in the order of the chain."""
 
     categories: tuple[str, ...]
-    words: list[str]
+    words_of: dict[str, list[str]]
     models: list[np.ndarray]
 
+    def __post_init__(self):
+        self.words = list(dict.fromkeys(w for words in self.words_of.values() for w in words))
+        place = {w: i for i, w in enumerate(self.words)}
+        self.columns = [[place[w] for w in self.words_of[c]] for c in self.categories]
+
     def features(self, counts: list[dict[str, int]]) -> np.ndarray:
         place = {w: i for i, w in enumerate(self.words)}
         x = np.zeros((len(counts), len(self.words)))
@@ -156,24 +173,24 @@ class Chain:
     def probabilities(self, x: np.ndarray) -> np.ndarray:
         out = np.zeros((len(x), len(self.models)))
         for k, weights in enumerate(self.models):
-            out[:, k] = predict(np.hstack([x, out[:, :k]]), weights)
+            out[:, k] = predict(np.hstack([x[:, self.columns[k]], out[:, :k]]), weights)
         return out
 
 
 def fit_chain(counts: list[dict[str, int]], labels: np.ndarray, folds: np.ndarray,
-              words: list[str], categories: tuple[str, ...] = CATEGORIES) -> Chain:
+              words: dict[str, list[str]], categories: tuple[str, ...] = CATEGORIES) -> Chain:
     """Fit the models in turn, each on out-of-fold probabilities of those before it."""
     chain = Chain(categories, words, [])
-    x = chain.features(counts)
+    every, earlier = chain.features(counts), np.zeros((len(counts), 0))
     for k in range(len(categories)):
-        y = labels[:, k]
+        x, y = np.hstack([every[:, chain.columns[k]], earlier]), labels[:, k]
         chain.models.append(fit_logistic(x, y))
         out_of_fold = np.zeros(len(y))
         for fold in range(FOLDS):
             held = folds == fold
             if held.any():
                 out_of_fold[held] = predict(x[held], fit_logistic(x[~held], y[~held]))
-        x = np.hstack([x, out_of_fold[:, None]])
+        earlier = np.hstack([earlier, out_of_fold[:, None]])
     return chain
 
 
@@ -189,7 +206,8 @@ def train_chain(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     counted = sample.withColumn("_words", _word_counts("_text")).drop("_text").cache()
     try:
         words = useful_words(counted, CATEGORIES, terms)
-        known = F.array(*(F.lit(w) for w in words)) if words else F.array().cast("array<string>")
+        every = sorted({w for own in words.values() for w in own})
+        known = F.array(*(F.lit(w) for w in every)) if every else F.array().cast("array<string>")
         rows = counted.select(
             "doc_id", *CATEGORIES,
             F.map_filter("_words", lambda word, times: F.array_contains(known, word))
@@ -216,7 +234,7 @@ def scored(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame:
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
-                    text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+                    text_col: str = "text", threshold: float = 0.7) -> DataFrame:
     """``(doc_id, p_junk, p_toxic, p_toxic_junk, rejected)``, one row per row of ``docs``.
 
     A document is rejected when its probability of being toxic reaches the threshold.
@@ -231,7 +249,7 @@ def toxicity_report(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
-               text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+               text_col: str = "text", threshold: float = 0.7) -> DataFrame:
     """The rows of ``docs`` that are not rejected, with their columns as they are."""
     chain = train_chain(docs, labels, id_col, text_col)
     found = scored(docs, chain, text_col)
