@@ -31,15 +31,15 @@ def projection(vocabulary: int, dimensions: int, seed: int) -> np.ndarray:
 
 
 def cells(ids: np.ndarray, offsets: np.ndarray, signs: np.ndarray, bits: int) -> np.ndarray:
-    """Grid cells of documents: their projected bags over the bags' length, per axis.
+    """Grid cells of documents: their projected bags, scaled to length one, per axis.
 
-    A projected coordinate has mean 0 and about standard deviation 1 after division by
-    the root of the number of tokens; four deviations to each side span the grid.
+    A coordinate of a vector of length one has mean 0 and standard deviation 1 over
+    random signs, whatever the document's length; four deviations span the grid.
     """
-    sums = np.concatenate([
-        np.zeros((1, signs.shape[1])), np.cumsum(signs[ids], axis=0, dtype=np.float64)])
-    sizes = np.diff(offsets)
-    points = (sums[offsets[1:]] - sums[offsets[:-1]]) / np.sqrt(np.maximum(sizes, 1))[:, None]
+    points = np.zeros((len(offsets) - 1, signs.shape[1]))
+    for row, (low, high) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+        found, times = np.unique(ids[low:high], return_counts=True)
+        points[row] = times @ signs[found] / max(1.0, float(np.sqrt((times * times).sum())))
     side = 1 << bits
     return np.clip(np.floor((points + 4) / 8 * side), 0, side - 1).astype(np.int64)
 

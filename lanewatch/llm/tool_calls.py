@@ -106,6 +106,8 @@ def dependency_levels(calls: DataFrame) -> DataFrame:
                      .withColumn("level", F.lit(0)), "call-levels")
     done, left, level = placed, waits, 0
     while not left.isEmpty():
+        if level % 8 == 7:  # keeps the plan of what is done short, however long the chain
+            done = written(done, "call-levels-done")
         level += 1
         # What waits for a call of the last round waits no more.
         rest = written(left.join(placed.select(
@@ -184,15 +186,15 @@ SCHEMAS = {
 def calls_of(conversations: DataFrame) -> DataFrame:
     """Each assistant turn as a call about its whole text.
 
-    It waits for the call two turns before, except where the turn is a multiple of four plus
-    one; both is plain arithmetic, so the calls grow with the table.
+    It waits for the call two turns before, except at every fourth exchange, where a new run
+    of calls begins; both is plain arithmetic, so the calls grow with the table.
     """
     turns = conversations.where("role = 'assistant'")
     name = F.element_at(F.array(*(F.lit(n) for n in sorted(SCHEMAS))),
                         (F.col("turn") % 3 + 1).cast("int"))
     call = F.concat(F.lit("call_"), F.col("turn").cast("string"))
     before = F.concat(F.lit("call_"), (F.col("turn") - 2).cast("string"))
-    waits = (F.col("turn") > 2) & (F.col("turn") % 4 != 1)
+    waits = (F.col("turn") > 2) & (F.floor(F.col("turn") / 2) % 4 != 0)
     text = F.coalesce(F.col("text"), F.lit(""))
     arguments = F.when(
         F.col("turn") % 3 == 1, F.to_json(F.struct(

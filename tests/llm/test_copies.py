@@ -1,0 +1,168 @@
+"""Exact copies, near groups and repeats against brute force, on odd rows and real ones."""
+
+import hashlib
+import itertools
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from lanewatch.llm.common import components, table
+from lanewatch.llm.exact_dedup import copy_report, drop_copies
+from lanewatch.llm.jaccard_join import near_groups, one_per_group
+from lanewatch.llm.suffix_dedup import COVER, PERIOD, packed, remove_repeats, unpacked
+
+SF = "/root/testdata/sf0.001"
+
+
+def normal(text):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+def expected_copies(data):
+    groups = {}
+    for doc, text in data:
+        groups.setdefault(normal(text), []).append(doc)
+    out = []
+    for doc, text in data:
+        ids = groups[normal(text)]
+        keep = min((i for i in ids if i is not None), default=None)
+        out.append((doc, keep, len(ids), doc == keep, hashlib.sha256(normal(text).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def pairs(df):
+    return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+
+
+@pytest.mark.parametrize("hasher", [None, lambda text: F.substring(F.md5(text), 1, 1)])
+def test_copy_report(odd, hasher):
+    got = copy_report(odd, **({"hasher": hasher} if hasher else {}))
+    assert sorted(map(tuple, got.collect()), key=str) == expected_copies(pairs(odd))
+
+
+def test_hash_collisions_are_told_apart_on_real_texts(spark):
+    docs = table(spark, SF, "documents")
+    got = copy_report(docs, hasher=lambda text: F.substring(F.md5(text), 1, 2))
+    assert sorted(map(tuple, got.collect()), key=str) == expected_copies(pairs(docs))
+
+
+@pytest.mark.parametrize("hasher", [None, lambda text: F.substring(F.md5(text), 1, 1)])
+def test_drop_copies_keeps_columns_and_one_row_per_text(odd, hasher):
+    got = drop_copies(odd, **({"hasher": hasher} if hasher else {}))
+    assert got.columns == odd.columns
+    kept = pairs(got)
+    assert len({normal(t) for _, t in kept}) == len(kept)
+    firsts = {(i, s) for i, k, _, keep, s in expected_copies(pairs(odd)) if keep}
+    assert {(i, hashlib.sha256(normal(t).encode()).hexdigest()) for i, t in kept} == firsts
+
+
+def test_empty_tables(empty):
+    assert copy_report(empty).count() == drop_copies(empty).count() == 0
+    assert near_groups(empty).count() == one_per_group(empty).count() == 0
+    assert remove_repeats(empty).count() == 0
+
+
+def shingles(text, width):
+    lower = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    if len(words) < width:
+        return {" ".join(words)} if words else set()
+    return {" ".join(words[k:k + width]) for k in range(len(words) - width + 1)}
+
+
+def brute_groups(data, width, percent):
+    sets = [(doc, shingles(text, width)) for doc, text in data]
+    up = {doc: doc for doc, _ in sets if doc is not None}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for (a, x), (b, y) in itertools.combinations([s for s in sets if s[0] is not None], 2):
+        if x and y and 100 * len(x & y) >= percent * len(x | y):
+            low, high = sorted((top(a), top(b)))
+            up[high] = low
+    return sets, top
+
+
+@pytest.mark.parametrize("width, percent, block", [(3, 90, 96), (5, 80, 4)])
+def test_near_groups_on_real_texts(spark, width, percent, block):
+    docs = table(spark, SF, "documents")
+    sets, top = brute_groups(pairs(docs), width, percent)
+    got = near_groups(docs, width=width, percent=percent, block=block)
+    assert sorted(map(tuple, got.collect())) == sorted((d, len(s), top(d)) for d, s in sets)
+
+
+def test_near_groups_with_edits_split_over_blocks(spark, rows):
+    base = [f"w{k}" for k in range(60)]
+    data = []
+    for n in range(40):
+        words = list(base)
+        words[(7 * n) % 60] = f"x{n}"
+        if n % 3 == 0:
+            words[(11 * n + 5) % 60] = f"y{n}"
+        data.append((n, " ".join(words)))
+    docs = rows("doc_id long, text string", data)
+    sets, top = brute_groups(data, 3, 80)
+    got = near_groups(docs, width=3, percent=80, block=5)
+    assert sorted(map(tuple, got.collect())) == sorted((d, len(s), top(d)) for d, s in sets)
+
+
+def test_near_groups_on_odd_rows(odd):
+    got = {(r["doc_id"], r["n_shingles"]): r["component_id"]
+           for r in near_groups(odd, width=3, percent=90).collect()}
+    assert got[(2, 0)] == 2 and got[(3, 0)] == 3 and got[(4, 0)] == 4
+    assert got[(6, 4)] == 1 and got[(13, 6)] == 12 and got[(11, 1)] == 10
+    assert got[(8, 1)] == 8 and got[(9, 2)] == 9 and (None, 1) in got
+    kept = one_per_group(odd, width=3, percent=90)
+    assert kept.columns == odd.columns
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert 6 not in ids and 11 not in ids and 13 not in ids and None in ids and 2 in ids
+
+
+def test_components(spark, rows):
+    links = [(k, k + 1) for k in range(100)] + [(200, k) for k in range(201, 260)] + [(500, 300)]
+    got = dict(map(tuple, components(rows("a long, b long", links), "t").distinct().collect()))
+    assert all(got[k] == 0 for k in range(101)) and got[259] == 200 and got[500] == got[300] == 300
+
+
+def test_cover_and_packing():
+    assert len({(a - b) % PERIOD for a in COVER for b in COVER}) == PERIOD
+    import numpy as np
+
+    values = np.array([3, 9, 2**40, 2**63], np.uint64)
+    assert (unpacked(packed(values)) == values).all()
+    assert len(unpacked(packed(values[:0]))) == 0
+
+
+def brute_repeats(data, length=100):
+    seen, out = set(), []
+    for doc, text in sorted(data, key=lambda d: (d[0] is not None, d[0])):
+        raw = (text or "").encode()
+        gone = [False] * len(raw)
+        for k in range(len(raw) - length + 1):
+            piece = raw[k:k + length]
+            if piece in seen:
+                gone[k:k + length] = [True] * length
+            seen.add(piece)
+        kept = bytes(b for b, g in zip(raw, gone) if not g)
+        spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
+        out.append((doc, len(raw), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("unit_bytes, bucket_rows", [(1 << 22, 1_000_000), (2000, 300)])
+def test_repeats_on_real_texts(spark, unit_bytes, bucket_rows):
+    docs = table(spark, SF, "documents").where("length(text) < 20000")
+    got = remove_repeats(docs, unit_bytes=unit_bytes, bucket_rows=bucket_rows)
+    assert sorted(map(tuple, got.collect()), key=str) == brute_repeats(pairs(docs))
+
+
+def test_repeats_on_odd_rows(odd):
+    some = odd.where("doc_id is null or doc_id not in (6, 8, 9)")
+    got = remove_repeats(some, unit_bytes=500)
+    assert sorted(map(tuple, got.collect()), key=str) == brute_repeats(pairs(some))
+    every = {(r["doc_id"], r["n_bytes"]): r["n_removed"] for r in remove_repeats(odd).collect()}
+    assert every[(9, 150_003)] == 150_000 and every[(8, 150_000)] == 150_000 - 5
