@@ -19,8 +19,14 @@ def simulation_millis(seconds: Column, base_ms: int = SIMULATION_BASE_MS) -> Col
 
 
 def _plain_text(ts: Column) -> Column:
-    """``2026-05-01T00:00:00``, with a fraction only where there is one, zeros cut."""
-    return F.replace(ts.cast("string"), F.lit(" "), F.lit("T"))
+    """``2026-05-01T00:00:00``, with a fraction only where there is one, zeros cut.
+
+    Counted from the epoch without a zone, so the text is UTC in any session.
+    """
+    seconds = (F.unix_micros(ts).cast("decimal(18,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    utc = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), seconds)
+    return F.replace(utc.cast("string"), F.lit(" "), F.lit("T"))
 
 
 def iso_instant(ts: Column) -> Column:

@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 import warnings
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lanewatch.functions.values import number_or_null
@@ -32,11 +33,16 @@ def _equals_text(c: Column, kind: T.DataType, wanted: str) -> Column:
         canonical = digits.isascii() and digits.isdigit() and str(int(value)) == value
         in_range = canonical and -(2 ** 63) <= int(value) < 2 ** 63
         return c == F.lit(int(value)) if in_range else F.lit(False)
-    if isinstance(kind, T.DoubleType):
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        # A number has one usual spelling, so the test is on the number itself.
         try:
-            return (c == F.lit(float(value))) & (as_text == value)
+            number = float(value)
         except ValueError:
             return F.lit(False)
+        if isinstance(kind, T.DoubleType):
+            return c == F.lit(number) if repr(number) == value else F.lit(False)
+        single = np.float32(number)
+        return c == F.lit(float(single)).cast("float") if str(single) == value else F.lit(False)
     if isinstance(kind, T.StringType) and value == value.upper():
         return c == F.lit(value)  # nothing in the text has a case
     return as_text == value

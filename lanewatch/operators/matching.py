@@ -27,8 +27,13 @@ def _cell_key(band: Column, cell: Column) -> Column:
     return F.coalesce(F.shiftleft(band, _CELL_BITS) + cell, F.lit(0).cast("long"))
 
 
+def _on_earth(lat: str, lon: str) -> Column:
+    """Positions with a latitude and a finite longitude; others can match nothing."""
+    return (F.abs(F.col(lat)) <= 90) & (F.abs(F.col(lon)) < float("inf"))
+
+
 def _event_cells(events: DataFrame, lat: str, lon: str, radius_m: float) -> DataFrame:
-    banded = events.dropna(subset=[lat, lon]).withColumn(
+    banded = events.filter(_on_earth(lat, lon)).withColumn(
         "_band", latitude_band(F.col(lat), radius_m))
     own = _with_cell(banded, lon, radius_m)
     return own.withColumn("_key", _cell_key(F.col("_band"), F.col("_cell"))).drop(
@@ -39,7 +44,8 @@ def _place_cells(places: DataFrame, radius_m: float) -> DataFrame:
     """Each place once per cell in which an event could lie within the radius."""
     steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
     middle = latitude_band(F.col("location_lat"), radius_m)
-    banded = places.withColumn("_band", F.explode(F.transform(steps, lambda d: middle + d)))
+    known = places.filter(_on_earth("location_lat", "location_lon"))
+    banded = known.withColumn("_band", F.explode(F.transform(steps, lambda d: middle + d)))
     own = _with_cell(banded, "location_lon", radius_m)
     around = F.array_distinct(F.transform(
         steps, lambda d: F.pmod(F.col("_cell") + d, F.col("_cells"))))
@@ -94,13 +100,13 @@ def with_place_name(
 ) -> DataFrame:
     """Add ``place_name``: the place at the same six-decimal position.
 
-    Where there is none the position itself is written, ``"lat, lon"``.
+    Where there is none the position itself is written, ``"lat, lon"``; of several
+    places at one position the first name in text order counts.
     """
-    names = places.select(
+    names = places.groupBy(
         F.round("location_lat", 6).alias("_lat6"),
         F.round("location_lon", 6).alias("_lon6"),
-        F.col("name").alias("_name"),
-    )
+    ).agg(F.min("name").alias("_name"))
     keyed = df.withColumns({
         "_lat6": F.round(F.col(lat), 6), "_lon6": F.round(F.col(lon), 6),
     })

@@ -60,7 +60,8 @@ def check_profile_arguments(df: DataFrame, keys: list[str], columns: list[str])
     both = [c for c in columns if c in keys]
     if both:
         raise ValueError(f"column(s) both profiled and grouped by: {', '.join(both)}")
-    for row in numeric_report(df, columns).collect():  # one row per named column
+    texts = [c for c in columns if not isinstance(df.schema[c].dataType, T.NumericType)]
+    for row in numeric_report(df, texts).collect() if texts else ():  # a row per text column
         if row["status"] == "empty":
             raise ValueError(f"column {row['column']!r} must be numeric")
         if row["status"] == "mixed":

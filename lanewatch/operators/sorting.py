@@ -22,9 +22,10 @@ def sort_terms(df: DataFrame, terms: str | None) -> DataFrame:
     """Total order over ``"a.1,b.0"``, missing values last in either direction.
 
     Rows that tie are ordered further by a hash of their content and by the
-    input split they came from.  That changes no asked-for order, but it lets
+    partition they come from.  That changes no asked-for order, but it lets
     the range exchange cut a value, or a row's copies, that fills many
-    partitions, which it could not do on the sort keys alone.
+    partitions, which it could not do on the sort keys alone.  A task that is run
+    again gives its rows the same partition number.
     """
     if not terms:
         return df
@@ -39,7 +40,6 @@ def sort_terms(df: DataFrame, terms: str | None) -> DataFrame:
     hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
     spread = df.withColumns({
         "_content": F.xxhash64(*(F.col(f"`{c}`") for c in hashable)),
-        "_file": F.input_file_name(),
-        "_block": F.input_file_block_start(),
+        "_from": F.spark_partition_id(),
     })
-    return spread.orderBy(*order, "_content", "_file", "_block").drop("_content", "_file", "_block")
+    return spread.orderBy(*order, "_content", "_from").drop("_content", "_from")

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 
 
 def write_csv_table(df: DataFrame, path: str) -> None:
-    """CSV part files, each with a header; nulls are empty."""
-    df.write.option("header", True).option("emptyValue", "").csv(path)
+    """CSV part files, each with a header; nulls are empty, quotes doubled, blanks kept."""
+    df.write.options(
+        header=True, emptyValue="", quote='"', escape='"', ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def write_features(features: DataFrame, path: str) -> None:

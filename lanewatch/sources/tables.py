@@ -51,15 +51,20 @@ def read_csv_table(
     path: str,
     schema: T.StructType | None = None,
     null_texts: tuple[str, ...] = NULL_TEXTS,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """A CSV table with a header line.
+    """A CSV table with a header line; quotes within quoted text are doubled.
+
+    ``multi_line`` allows line breaks within quoted text, but then a file is read by
+    one task, as it cannot be split.
 
     With a schema the file is read once, and a value that does not fit its
     numeric column is null.  Without one, an extra pass over the file finds the
     columns in which every value but the null texts is a number; whole numbers
     stay whole even where some are missing.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    reader = spark.read.options(
+        header=True, mode="PERMISSIVE", quote='"', escape='"', multiLine=multi_line)
     if schema:
         return _nulls_cleaned(reader.schema(schema).csv(path), null_texts)
     return _numbers_typed(_nulls_cleaned(reader.csv(path), null_texts))

@@ -27,11 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The same table as a file stream."""
+    """The same table, a file or a folder of part files, as a stream of bounded batches."""
     schema = table(spark, sf_dir, name).schema
+    # As a pattern, the path may name one file as well as a folder.
     return (
-        spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-        .parquet(sf_dir)
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000)
+        .parquet(f"{sf_dir}/{name}.parque[t]")
     )
 
 
