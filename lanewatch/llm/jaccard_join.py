@@ -86,14 +86,15 @@ def describe_sets(sets: list[np.ndarray], percent: int) -> dict[str, pa.Array]:
     }
 
 
-def _describer(width: int, percent: int):
+def _describer(width: int, percent: int, names: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("_text")
             for low, high in row_slices(texts):
                 sets = shingle_sets(*text_buffer(texts.slice(low, high - low)), width)
                 columns = {"doc": batch.column("_id").slice(low, high - low)}
-                yield pa.RecordBatch.from_pydict(columns | describe_sets(sets, percent))
+                found = describe_sets(sets, percent)
+                yield pa.RecordBatch.from_pydict(columns | {name: found[name] for name in names})
     return run
 
 
@@ -215,14 +216,14 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), text_of(text_col).alias("_text"))
     described = written(texts.mapInArrow(
-        _describer(width, percent), "doc long, n long, d1 long, d2 long, sigs array<long>"),
+        _describer(width, percent, ("n", "d1", "d2")), "doc long, n long, d1 long, d2 long"),
         "shingle-sets")
     sets = written(
         described.where("n > 0 and doc is not null").groupBy("d1", "d2", "n")
         .agg(F.min("doc").alias("rep")), "distinct-sets")
-    signatures = described.where("n > 0").join(
-        sets.select(F.col("rep").alias("doc"), "d1", "d2", "n"), ["doc", "d1", "d2", "n"],
-        "left_semi")
+    # Signatures outweigh the texts, so they are made where they are needed and not stored.
+    signatures = texts.join(sets, F.col("_id") == F.col("rep"), "left_semi").mapInArrow(
+        _describer(width, percent, ("sigs",)), "doc long, sigs array<long>")
     agreeing = (
         signatures.select("doc", F.explode("sigs").alias("sig"))
         .repartition("sig").sortWithinPartitions("sig", "doc")
