@@ -13,28 +13,39 @@ from lanewatch.llm.queries import vocabulary_path
 from lanewatch.llm.toxicity import drop_toxic
 
 
+def _release_shuffles(spark: SparkSession, release: bool = True) -> None:
+    """A stage's rows are written once, so its shuffle files may go when they are."""
+    spark.conf.set(
+        "spark.sql.classic.shuffleDependency.fileCleanup.enabled", str(release).lower())
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not reject; it learns from ``labels``."""
+    _release_shuffles(spark)
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first of each group of equal texts."""
+    _release_shuffles(spark)
     return drop_copies(docs)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first of each near-duplicate group: five-word shingles, similarity 0.8."""
+    _release_shuffles(spark)
     return one_per_group(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated to the sources' target weights, in shuffled order."""
+    _release_shuffles(spark)
     return mix_sources(docs).drop("copy_no", "shuffle_key")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of at most 4096 tokens."""
+    _release_shuffles(spark, False)  # the caller may read these rows more than once
     return pack_documents(docs, vocabulary_path())
 
 
