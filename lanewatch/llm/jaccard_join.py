@@ -12,8 +12,9 @@
 4. Links become connected components.
 
 A large group is dealt to tasks as pairs of blocks of about ``block`` sets, so no task
-holds a group; every pair of its blocks is looked at.  A task returns a spanning
-forest of its links, which keeps the components whole.
+holds a group; of two blocks only the sets that agree in a part with one of the other
+block meet.  A task returns a spanning forest of its links, which keeps the components
+whole.
 """
 
 from __future__ import annotations
@@ -92,7 +93,9 @@ def _describer(width: int, percent: int, names: tuple[str, ...]):
             texts = batch.column("_text")
             for low, high in row_slices(texts):
                 sets = shingle_sets(*text_buffer(texts.slice(low, high - low)), width)
-                columns = {"doc": batch.column("_id").slice(low, high - low)}
+                columns = {
+                    "doc" if c == "_id" else c: batch.column(c).slice(low, high - low)
+                    for c in batch.schema.names if c != "_text"}
                 found = describe_sets(sets, percent)
                 yield pa.RecordBatch.from_pydict(columns | {name: found[name] for name in names})
     return run
@@ -117,6 +120,41 @@ def _first_of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_pydict({"a": pa.array(links[:, 0]), "b": pa.array(links[:, 1])})
 
 
+def _visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by signature: each set visits the blocks of the sets that share one."""
+    def out(docs: list[np.ndarray], blocks: list[np.ndarray]) -> np.ndarray:
+        docs, blocks = np.concatenate(docs), np.concatenate(blocks)
+        others = np.unique(blocks)
+        if len(others) < 2:
+            return np.zeros((0, 2), np.int64)
+        pairs = np.stack([np.repeat(docs, len(others)), np.tile(others, len(docs))], 1)
+        return pairs[pairs[:, 1] != np.repeat(blocks, len(others))]
+
+    last, docs, blocks = None, [], []
+    for batch in batches:
+        sigs, doc, own = (batch.column(c).to_numpy() for c in ("sig", "doc", "own"))
+        if not len(sigs):
+            continue
+        cuts = np.concatenate([[0], np.flatnonzero(sigs[1:] != sigs[:-1]) + 1, [len(sigs)]])
+        found = []
+        for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if docs and sigs[low] != last:
+                if len(docs) > 1 or len(docs[0]) > 1:
+                    found.append(out(docs, blocks))
+                docs, blocks = [], []
+            last = sigs[low]
+            docs.append(doc[low:high])
+            blocks.append(own[low:high].astype(np.int64))
+        if found:
+            pairs = np.unique(np.concatenate(found), axis=0)
+            yield pa.RecordBatch.from_pydict(
+                {"doc": pa.array(pairs[:, 0]), "other": pa.array(pairs[:, 1].astype(np.int32))})
+    if docs:
+        pairs = out(docs, blocks)
+        yield pa.RecordBatch.from_pydict(
+            {"doc": pa.array(pairs[:, 0]), "other": pa.array(pairs[:, 1].astype(np.int32))})
+
+
 class _Forest:
     """Union-find over the rows of one task's block pair."""
 
@@ -237,12 +275,20 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .withColumn("blocks", F.ceil(F.col("size") / F.lit(block)).cast("int"))
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .select(F.col("node").alias("doc"), "component", "blocks", "own"))
-    # One row per set: of rows that repeat an id with one text, the text counts once.
-    held = texts.join(members, texts["_id"] == members["doc"]).select(
-        "doc", "_text", "component", "blocks", "own")
-    met = held.select(
-        "doc", "_text", "component", "own",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    members = written(members, "jaccard-blocks")
+    # In a group of several blocks a set meets its own block, and of another block only the
+    # sets that share a signature with it or with another visitor from its block.
+    split = texts.join(members.where("blocks > 1").select(
+        F.col("doc").alias("_id"), "own"), "_id").select("_id", "_text", "own")
+    visits = (
+        split.mapInArrow(_describer(width, percent, ("sigs",)), "doc long, own int, sigs array<long>")
+        .select("doc", "own", F.explode("sigs").alias("sig"))
+        .repartition("sig").sortWithinPartitions("sig", "doc")
+        .mapInArrow(_visits, "doc long, other int").distinct())
+    places = written(members.select("doc", "component", "own", F.col("own").alias("other")).unionByName(
+        members.select("doc", "component", "own").join(visits, "doc")), "jaccard-visits")
+    held = texts.join(places, texts["_id"] == places["doc"])
+    met = held.select("doc", "_text", "component", "own", "other")
     links = (
         met.groupBy("component", F.least("own", "other").alias("low"),
                     F.greatest("own", "other").alias("high"))
