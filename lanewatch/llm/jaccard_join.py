@@ -2,9 +2,11 @@
 
 1. Each document becomes its set of word shingles.  Equal sets count once.
 2. Similar sets are partitioned into groups.  Two sets that reach the threshold
-   differ in at most d shingles, so of d + 1 parts of the shingle space they
-   agree in one; sets that agree in a part come into one group.  No linked pair
-   is ever in two groups, so only sets of one group need to meet.
+   differ in at most d shingles, so of more than d parts of the shingle space they
+   agree in one; sets that agree in a part come into one group.  A part without
+   shingles, or with few, says little, so each set leaves out as many of its weakest
+   parts as it safely can.  No linked pair is ever in two groups, so only sets of one
+   group need to meet.
 3. Within a group, sets are ordered so that similar ones follow each other and cut
    into small token groups, each with the union of its shingles.  The overlap of a
    set with the union bounds its overlap with each member; only token groups whose
@@ -30,6 +32,9 @@ from lanewatch.llm.common import components, text_of, written
 from lanewatch.llm.words import mixed, row_slices, shingle_sets, text_buffer
 
 TOKEN_GROUP = 8
+#: Parts that a shingle space is cut into, for 100 that linked sets could differ in.  More of
+#: them leave more weak ones to leave out, but make each smaller.
+PARTS_PERCENT = 125
 _COLUMNS = 8192
 
 
@@ -41,11 +46,11 @@ def size_levels(percent: int, most: int) -> np.ndarray:
     return np.array(bounds, np.int64)
 
 
-def parts_of_level(bounds: np.ndarray, level: np.ndarray, percent: int) -> np.ndarray:
-    """One part more than two linked sets up to this level can differ in."""
-    largest = bounds[level + 1] - 1
+def most_different(sizes: np.ndarray, largest: np.ndarray, percent: int) -> np.ndarray:
+    """How many shingles a set of this size and a linked one of up to ``largest`` can differ in."""
     # Of n1 + n2 shingles, at least 2p / (100 + p) lie in the intersection, counted twice.
-    return (2 * largest * (100 - percent)) // (100 + percent) + 1
+    other = np.minimum(largest, sizes * 100 // percent)
+    return (sizes + other) * (100 - percent) // (100 + percent)
 
 
 def _sums(slots: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -55,8 +60,27 @@ def _sums(slots: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return low.astype(np.uint64) + (high.astype(np.uint64) << np.uint64(32))
 
 
+def strongest(signatures: np.ndarray, uses: np.ndarray, firsts: np.ndarray,
+              wanted: np.ndarray) -> np.ndarray:
+    """Whether a part is among the ``wanted`` ones of its run that hold most shingles.
+
+    The order depends on what a part holds only, and all parts that tie with the last are taken.
+    """
+    runs = np.repeat(np.arange(len(firsts), dtype=np.uint64), np.diff(np.append(firsts, len(uses))))
+    rank = (runs << np.uint64(40)) | (np.minimum(uses, 255).astype(np.uint64) << np.uint64(32))
+    rank |= signatures >> np.uint64(32)
+    ends = np.append(firsts[1:], len(uses))
+    last = np.sort(rank)[np.minimum(ends - wanted, len(uses) - 1)] if len(uses) else rank
+    return rank >= np.repeat(last, np.diff(np.append(firsts, len(uses))))
+
+
 def describe_sets(sets: list[np.ndarray], percent: int) -> dict[str, pa.Array]:
-    """Size, 128-bit digest and the part signatures of each set."""
+    """Size, 128-bit digest and the part signatures of each set.
+
+    Linked sets differ in d shingles at most, so of P parts P - d agree.  A set leaves out its
+    P - d - 1 weakest parts, those that hold few shingles or none: one of the agreeing
+    parts is stronger, and the other set, for which the same holds, sends it too.
+    """
     sizes = np.array([len(s) for s in sets], np.int64)
     tokens = np.concatenate(sets) if len(sets) else np.zeros(0, np.uint64)
     rows = np.repeat(np.arange(len(sets)), sizes)
@@ -64,26 +88,32 @@ def describe_sets(sets: list[np.ndarray], percent: int) -> dict[str, pa.Array]:
     bounds = size_levels(percent, int(sizes.max(initial=1)) * 2 + 2)
     bounds = np.append(bounds, size_levels(percent, int(bounds[-1]) * 2)[len(bounds):])
     level = np.searchsorted(bounds, np.maximum(sizes, 1), side="right") - 1
-    counts = [np.where(sizes > 0, parts_of_level(bounds, level + k, percent), 0)
-              for k in range(2)]
-    base = np.concatenate([[0], np.cumsum(counts[0] + counts[1])])
+    # Each set has the parts of its own level and then those of the next one.
+    tags = np.stack([level, level + 1], 1).ravel()
+    largest = bounds[tags + 1] - 1
+    differ = most_different(np.repeat(sizes, 2), largest, percent)
+    parts = np.where(
+        np.repeat(sizes, 2) > 0,
+        (most_different(largest, largest, percent) + 1) * PARTS_PERCENT // 100, 0)
+    base = np.concatenate([[0], np.cumsum(parts)])
     spread = mixed(tokens + np.uint64(77))
-    slots = [base[rows] + (spread % counts[0][rows].astype(np.uint64)).astype(np.int64),
-             base[rows] + counts[0][rows]
-             + (spread % counts[1][rows].astype(np.uint64)).astype(np.int64)]
+    slots = [base[2 * rows + k]
+             + (spread % parts[2 * rows + k].astype(np.uint64)).astype(np.int64) for k in range(2)]
     total = int(base[-1])
     sums = _sums(slots[0], spread, total) + _sums(slots[1], spread, total)
-    owner = np.repeat(np.arange(len(sets)), counts[0] + counts[1])
+    uses = np.bincount(slots[0], minlength=total) + np.bincount(slots[1], minlength=total)
+    owner = np.repeat(np.arange(len(parts)), parts)
     place = np.arange(total) - base[owner]
-    second = place >= counts[0][owner]
-    place = place - np.where(second, counts[0][owner], 0)
-    tag = ((level[owner] + second).astype(np.uint64) << np.uint64(40)) + place.astype(np.uint64)
+    tag = (tags[owner].astype(np.uint64) << np.uint64(40)) + place.astype(np.uint64)
     signatures = mixed(sums + mixed(tag + np.uint64(1)))
+    some = parts > 0
+    sent = strongest(signatures, uses, base[:-1][some], differ[some] + 1)
+    ends = np.concatenate([[0], np.cumsum(sent)])[base[::2]]
     return {
         "n": pa.array(sizes),
         "d1": pa.array(digests[0].view(np.int64)), "d2": pa.array(digests[1].view(np.int64)),
         "sigs": pa.ListArray.from_arrays(
-            pa.array(base.astype(np.int32)), pa.array(signatures.view(np.int64))),
+            pa.array(ends.astype(np.int32)), pa.array(signatures[sent].view(np.int64))),
     }
 
 
@@ -120,41 +150,6 @@ def _first_of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_pydict({"a": pa.array(links[:, 0]), "b": pa.array(links[:, 1])})
 
 
-def _visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by signature: each set visits the blocks of the sets that share one."""
-    def out(docs: list[np.ndarray], blocks: list[np.ndarray]) -> np.ndarray:
-        docs, blocks = np.concatenate(docs), np.concatenate(blocks)
-        others = np.unique(blocks)
-        if len(others) < 2:
-            return np.zeros((0, 2), np.int64)
-        pairs = np.stack([np.repeat(docs, len(others)), np.tile(others, len(docs))], 1)
-        return pairs[pairs[:, 1] != np.repeat(blocks, len(others))]
-
-    last, docs, blocks = None, [], []
-    for batch in batches:
-        sigs, doc, own = (batch.column(c).to_numpy() for c in ("sig", "doc", "own"))
-        if not len(sigs):
-            continue
-        cuts = np.concatenate([[0], np.flatnonzero(sigs[1:] != sigs[:-1]) + 1, [len(sigs)]])
-        found = []
-        for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            if docs and sigs[low] != last:
-                if len(docs) > 1 or len(docs[0]) > 1:
-                    found.append(out(docs, blocks))
-                docs, blocks = [], []
-            last = sigs[low]
-            docs.append(doc[low:high])
-            blocks.append(own[low:high].astype(np.int64))
-        if found:
-            pairs = np.unique(np.concatenate(found), axis=0)
-            yield pa.RecordBatch.from_pydict(
-                {"doc": pa.array(pairs[:, 0]), "other": pa.array(pairs[:, 1].astype(np.int32))})
-    if docs:
-        pairs = out(docs, blocks)
-        yield pa.RecordBatch.from_pydict(
-            {"doc": pa.array(pairs[:, 0]), "other": pa.array(pairs[:, 1].astype(np.int32))})
-
-
 class _Forest:
     """Union-find over the rows of one task's block pair."""
 
@@ -276,15 +271,15 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .select(F.col("node").alias("doc"), "component", "blocks", "own"))
     members = written(members, "jaccard-blocks")
-    # In a group of several blocks a set meets its own block, and of another block only the
-    # sets that share a signature with it or with another visitor from its block.
+    # In a group of several blocks a set meets its own block, and it visits another block if
+    # it shares a signature with a set of that block.
     split = texts.join(members.where("blocks > 1").select(
         F.col("doc").alias("_id"), "own"), "_id").select("_id", "_text", "own")
-    visits = (
-        split.mapInArrow(_describer(width, percent, ("sigs",)), "doc long, own int, sigs array<long>")
-        .select("doc", "own", F.explode("sigs").alias("sig"))
-        .repartition("sig").sortWithinPartitions("sig", "doc")
-        .mapInArrow(_visits, "doc long, other int").distinct())
+    parts = split.mapInArrow(
+        _describer(width, percent, ("sigs",)), "doc long, own int, sigs array<long>").select(
+        "doc", "own", F.explode("sigs").alias("sig"))
+    hosts = parts.select("sig", F.col("own").alias("other")).distinct()
+    visits = parts.join(hosts, "sig").where("own <> other").select("doc", "other").distinct()
     places = written(members.select("doc", "component", "own", F.col("own").alias("other")).unionByName(
         members.select("doc", "component", "own").join(visits, "doc")), "jaccard-visits")
     held = texts.join(places, texts["_id"] == places["doc"])
