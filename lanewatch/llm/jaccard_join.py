@@ -278,10 +278,18 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     parts = split.mapInArrow(
         _describer(width, percent, ("sigs",)), "doc long, own int, sigs array<long>").select(
         "doc", "own", F.explode("sigs").alias("sig"))
-    hosts = parts.select("sig", F.col("own").alias("other")).distinct()
-    visits = parts.join(hosts, "sig").where("own <> other").select("doc", "other").distinct()
-    places = written(members.select("doc", "component", "own", F.col("own").alias("other")).unionByName(
-        members.select("doc", "component", "own").join(visits, "doc")), "jaccard-visits")
+    # Blocks that hold a part are bits, so a part costs a row per 64 blocks and not one for each.
+    hosts = parts.groupBy("sig", F.expr("own div 64").alias("bits_of")).agg(
+        F.bit_or(F.expr("shiftleft(1L, own % 64)")).alias("bits"))
+    shared = parts.select("doc", "sig").join(hosts, "sig").groupBy("doc", "bits_of").agg(
+        F.bit_or("bits").alias("bits"))
+    set_bits = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda k: F.getbit("bits", k) == 1)
+    visits = shared.select("doc", "bits_of", F.explode(set_bits).alias("bit")).select(
+        "doc", (F.col("bits_of") * 64 + F.col("bit")).cast("int").alias("other"))
+    own = members.select("doc", "component", "own")
+    places = written(
+        own.withColumn("other", F.col("own")).unionByName(
+            own.join(visits, "doc").where("own <> other")), "jaccard-visits")
     held = texts.join(places, texts["_id"] == places["doc"])
     met = held.select("doc", "_text", "component", "own", "other")
     links = (

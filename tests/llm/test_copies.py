@@ -95,10 +95,11 @@ def test_near_groups_on_real_texts(spark, width, percent, block):
     assert sorted(map(tuple, got.collect())) == sorted((d, len(s), top(d)) for d, s in sets)
 
 
-def test_near_groups_with_edits_split_over_blocks(spark, rows):
+@pytest.mark.parametrize("texts, block", [(40, 5), (90, 1)])
+def test_near_groups_with_edits_split_over_blocks(spark, rows, texts, block):
     base = [f"w{k}" for k in range(60)]
     data = []
-    for n in range(40):
+    for n in range(texts):
         words = list(base)
         words[(7 * n) % 60] = f"x{n}"
         if n % 3 == 0:
@@ -106,7 +107,7 @@ def test_near_groups_with_edits_split_over_blocks(spark, rows):
         data.append((n, " ".join(words)))
     docs = rows("doc_id long, text string", data)
     sets, top = brute_groups(data, 3, 80)
-    got = near_groups(docs, width=3, percent=80, block=5)
+    got = near_groups(docs, width=3, percent=80, block=block)
     assert sorted(map(tuple, got.collect())) == sorted((d, len(s), top(d)) for d, s in sets)
 
 
