@@ -1,8 +1,8 @@
 """Chat formatting: link tool calls to their results, order, validate and serialise them.
 
 Calls and results meet by hash join on conversation and identifier.  A call that names
-other calls comes after them: its level is one more than the highest of theirs, found round by
-round.  Arguments are checked against the tool's schema, and each call with its result becomes
+other calls comes after them: its level is one more than the highest of theirs, found by doubling
+the steps between calls.  Arguments are checked against the tool's schema, and each call with its result becomes
 one line of canonical JSON.
 """
 
@@ -90,35 +90,63 @@ def checked_arguments(name: str | None, text: str | None, schemas: dict[str, dic
     return value, schema_errors(value, schemas[name])
 
 
+#: Steps are never counted beyond this: only cycles, which double them without end, reach it.
+_FAR = 1 << 40
+
+
 def dependency_levels(calls: DataFrame) -> DataFrame:
     """``(conv_id, call_id, level)``: 0 without earlier calls, else one above the highest.
 
     ``calls`` has ``depends``, the identifiers a call waits for; unknown ones are ignored.
-    Calls in or behind a cycle get no level and are absent.  A round is one join
-    and one group-by over what is left; there are as many as the longest chain of calls.
+    Calls in or behind a cycle get no level and are absent.
+
+    A wait says that its call comes at least so many steps after another.  In a round every
+    wait for a call that has its level becomes a bound, and every wait for a call that itself
+    waits for one call only is handed on to that one, with the steps of both.  So a chain
+    takes rounds as the logarithm of its length; calls that wait for several others are
+    passed one per round.  Waits are never more than at first, and each round is written.
     """
     keys = ["conv_id", "call_id"]
     known = written(calls.select(*keys).distinct(), "call-ids")
     waits = calls.select(*keys, F.explode("depends").alias("on")).distinct()
     waits = written(waits.join(known.withColumnRenamed("call_id", "on"), ["conv_id", "on"],
-                               "left_semi"), "call-waits")
-    placed = written(known.join(waits.select(*keys).distinct(), keys, "left_anti")
-                     .withColumn("level", F.lit(0)), "call-levels")
-    done, left, level = placed, waits, 0
-    while not left.isEmpty():
-        if level % 8 == 7:  # keeps the plan of what is done short, however long the chain
-            done = written(done, "call-levels-done")
-        level += 1
-        # What waits for a call of the last round waits no more.
-        rest = written(left.join(placed.select(
-            "conv_id", F.col("call_id").alias("on")), ["conv_id", "on"], "left_anti"), "call-waits")
-        placed = written(
-            left.select(*keys).distinct().join(rest.select(*keys).distinct(), keys, "left_anti")
-            .withColumn("level", F.lit(level)), "call-levels")
-        if placed.isEmpty():
+                               "left_semi").withColumn("steps", F.lit(1).cast("long")), "call-waits")
+
+    def state(before: DataFrame, bounds: DataFrame) -> DataFrame:
+        """A row per call: its level so far, its number of waits and, of a single one, what it is."""
+        none = F.lit(None)
+        rows = before.select(*keys, none.cast("string").alias("on"), none.cast("long").alias("steps"),
+                             "level").unionByName(bounds)
+        return written(rows.groupBy(*keys).agg(
+            F.max("level").alias("level"), F.count("on").alias("n_waits"),
+            F.max("on").alias("next"), F.max("steps").alias("next_steps")), "call-levels")
+
+    def without_level(nodes: DataFrame) -> int:
+        return nodes.where("n_waits > 0").count()
+
+    nodes = state(known.withColumn("level", F.lit(0).cast("long")),
+                  waits.withColumn("level", F.lit(0).cast("long")))
+    left = without_level(nodes)
+    while left:
+        met = waits.join(nodes.select(
+            "conv_id", F.col("call_id").alias("on"), "level", "n_waits", "next", "next_steps"),
+            ["conv_id", "on"])
+        bound = F.least(F.col("level") + F.col("steps"), F.lit(_FAR))
+        bounds = written(met.select(
+            *keys,
+            F.when(F.col("n_waits") <= 1, F.col("next")).otherwise(F.col("on")).alias("on"),
+            F.when(F.col("n_waits") == 0, F.lit(None)).when(
+                F.col("n_waits") == 1, F.least(F.col("steps") + F.col("next_steps"), F.lit(_FAR)))
+            .otherwise(F.col("steps")).alias("steps"),
+            F.when(F.col("n_waits") <= 1, bound).otherwise(F.lit(0)).alias("level"),
+        ).groupBy(*keys, "on").agg(
+            F.max("steps").alias("steps"), F.max("level").alias("level")), "call-bounds")
+        nodes = state(nodes, bounds)
+        waits = bounds.where("on is not null").drop("level")
+        before, left = left, without_level(nodes)
+        if left == before:  # without a cycle, the earliest call left would have got its level
             break
-        done, left = done.unionByName(placed), rest
-    return done
+    return nodes.where("n_waits = 0").select(*keys, F.col("level").cast("int").alias("level"))
 
 
 def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -186,15 +214,15 @@ SCHEMAS = {
 def calls_of(conversations: DataFrame) -> DataFrame:
     """Each assistant turn as a call about its whole text.
 
-    It waits for the call two turns before, except at every fourth exchange, where a new run
-    of calls begins; both is plain arithmetic, so the calls grow with the table.
+    It waits for the call two turns before, so that a chain of calls may run through a whole
+    conversation; this is plain arithmetic, so the calls grow with the table.
     """
     turns = conversations.where("role = 'assistant'")
     name = F.element_at(F.array(*(F.lit(n) for n in sorted(SCHEMAS))),
                         (F.col("turn") % 3 + 1).cast("int"))
     call = F.concat(F.lit("call_"), F.col("turn").cast("string"))
     before = F.concat(F.lit("call_"), (F.col("turn") - 2).cast("string"))
-    waits = (F.col("turn") > 2) & (F.floor(F.col("turn") / 2) % 4 != 0)
+    waits = F.col("turn") > 2
     text = F.coalesce(F.col("text"), F.lit(""))
     arguments = F.when(
         F.col("turn") % 3 == 1, F.to_json(F.struct(

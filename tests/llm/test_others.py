@@ -18,7 +18,8 @@ from lanewatch.llm.packing import hilbert_keys, pack_documents, powers_of_two
 from lanewatch.llm.page_diff import extract_main_text, shared_lines
 from lanewatch.llm.pii import disguised_spans, find_personal_data, plain_spans
 from lanewatch.llm.tokens import tokenizer
-from lanewatch.llm.tool_calls import canonical, link_tool_calls, schema_errors
+from lanewatch.llm.tool_calls import (
+    SCHEMAS, calls_of, canonical, dependency_levels, link_tool_calls, results_of, schema_errors)
 from lanewatch.llm.toxicity import drop_toxic, toxicity_report
 
 SF = "/root/testdata/sf0.001"
@@ -148,6 +149,38 @@ def test_tool_call_query_against_brute_force(spark):
         assert canonical(json.loads(row["json"])) == row["json"]
 
 
+def test_levels_through_a_whole_conversation(spark, rows):
+    turns = [(1, t, "assistant" if t % 2 == 0 and t else "user", f"t{t}") for t in range(0, 91)]
+    turns += [(2, t, "assistant" if t % 2 else "user", f"t{t}") for t in range(0, 32)]
+    turns = rows("conv_id long, turn long, role string, text string", turns)
+    got = link_tool_calls(calls_of(turns), results_of(turns), SCHEMAS).collect()
+    assert {(r["conv_id"], r["turn"]): r["level"] for r in got} == {
+        **{(1, t): t // 2 - 1 for t in range(2, 91, 2)}, **{(2, t): t // 2 for t in range(1, 32, 2)}}
+    assert [r["level"] for r in got] == [*range(45), *range(16)]
+
+
+def test_levels_against_brute_force(spark, rows):
+    dice, calls = np.random.default_rng(3), []
+    for conv in range(6):
+        for k in range(40):
+            earlier = {int(max(0, k - dice.integers(1, 5))) for _ in range(dice.integers(0, 3))} - {k}
+            calls.append((conv, str(k), [str(e) for e in earlier]))
+    calls += [(9, str(k), [str(k - 1)] * (k > 0)) for k in range(100)]
+    calls += [(9, f"c{k}", [f"c{(k + 1) % 3}", "5"]) for k in range(3)]  # a cycle behind a chain
+    calls += [(9, "after", ["c0", "7"]), (9, "self", ["self"]), (9, "ladder0", ["99"]),
+              *((9, f"ladder{k}", [f"ladder{k - 1}", str(k)]) for k in range(1, 8))]
+    want, waits = {}, {(c, k): [(c, d) for d in ds] for c, k, ds in calls}
+    while True:
+        new = {k: 1 + max((want[d] for d in ds), default=-1) for k, ds in waits.items()
+               if k not in want and all(d in want for d in ds)}
+        if not new:
+            break
+        want.update(new)
+    got = dependency_levels(rows("conv_id long, call_id string, depends array<string>", calls)).collect()
+    assert {(r["conv_id"], r["call_id"]): r["level"] for r in got} == want and len(got) == len(want)
+    assert want[9, "ladder7"] == 107 and (9, "after") not in want
+
+
 def test_schema_errors():
     schema = {"type": "object", "additionalProperties": False, "properties": {
         "k": {"enum": [1, 2]}, "l": {"type": "array", "items": {"type": "integer", "minimum": 0}}}}
