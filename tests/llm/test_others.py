@@ -6,11 +6,12 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from compare import connect, differences
-from lanewatch.llm import queries as llm
+from lanewatch.llm import page_diff, queries as llm
 from lanewatch.llm.common import table
 from lanewatch.llm.mixing import mix_sources, source_rates
 from lanewatch.llm.nearest import nearest_neighbours
@@ -279,6 +280,59 @@ def test_pages(spark, rows):
     assert extract_main_text(pages.limit(0)).count() == 0
 
 
+def bare_page(*lines):
+    return "<body>" + "".join(f"<p>{line}</p>" for line in lines)
+
+
+def texts_of(rows, data):
+    pages = rows("page_id long, url string, html string", data)
+    got = {}
+    for r in extract_main_text(pages).collect():
+        got.setdefault(r["page_id"], []).append(r["text"])
+        assert r["n_chars"] == len(r["text"])
+    return got
+
+
+def test_pages_of_a_large_host_meet_their_nearest_path(spark, rows):
+    data = [(100 * s + k, f"http://big.de/s{s:02d}/{k}", bare_page(
+        "Logo", f"Menu of section {s}", f"Story {s} {k} is told here at length", "Imprint"))
+        for s in range(40) for k in range(5)]
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so the host spans ranges
+    try:
+        got = texts_of(rows, data)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert got == {100 * s + k: [f"Story {s} {k} is told here at length"]
+                   for s in range(40) for k in range(5)}
+
+
+def test_copies_and_mirrors_keep_their_text(rows):
+    story = "The long story that two paths of this host tell in the same words"
+    data = [(k, f"http://a.de/p/{k}", bare_page("Logo", f"Own text {k} of this page", "Imprint"))
+            for k in range(6)]
+    data += [(10, "http://a.de/p/1x", bare_page("Logo", story, "Imprint"))] * 2  # a repeated row
+    data += [(11, "http://a.de/p/1y", bare_page("Logo", story, "Imprint"))]  # a mirror
+    data += [(12, "http://a.de/p/1z", bare_page("Logo", story, "Read at 12:01", "Imprint"))]
+    data += [(13, "http://a.de/p/1za", bare_page("Logo", "Imprint"))]  # nothing but template
+    data += [(k, "http://b.de/p", bare_page("Alone", "twice")) for k in (20, 21)]
+    data += [(30, None, bare_page("x", "one")), (31, None, bare_page("x", "two"))]
+    assert texts_of(rows, data) == {
+        **{k: [f"Own text {k} of this page"] for k in range(6)}, 10: [story] * 2, 11: [story],
+        12: [story + "\n\nRead at 12:01"], 13: ["Logo\n\nImprint"], 20: ["Alone\n\ntwice"],
+        21: ["Alone\n\ntwice"], 30: ["x\n\none"], 31: ["x\n\ntwo"]}
+
+
+def test_carried_places_cross_ranges_of_one_text():
+    edges = [(0, "h", "/a", 1, "A", "s"), (0, "h", "/b", 2, "B", "t"), (1, "h", "/c", 3, "C", "t"),
+             (2, "h", "/d", 4, "D", "t"), (2, "h", "/e", 5, "E", "u")]
+    got = page_diff._carried(pd.DataFrame(edges, columns=["_range", *page_diff._PLACE, "_sign"]))
+    found = {}
+    for r in got.to_dict("records"):
+        found.setdefault(r["_range"], set()).add(r["_content"])
+    assert found == {0: {"C", "E"}, 1: {"A", "B", "D", "E"}, 2: {"A", "C"}}
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     rng = np.random.default_rng(1)
     for _ in range(60):
