@@ -280,6 +280,25 @@ def test_pages(spark, rows):
     assert extract_main_text(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("wrapper, kept", [
+    ("<div class='page has-sidebar'>", True), ("<div class='no-sidebar'>", True),
+    ("<div id=x class='layout with-comments'>", True), ("<div class='widget-area'>", True),
+    ("<div class=modal-open><div>", True), ("<form id=aspnetForm>", True), ("<div hidden>", False),
+    ("<div class=sidebar aria-hidden=true>", False)])
+def test_a_wrapped_article_is_found(wrapper, kept):
+    lines = page_diff.page_lines(
+        f"<body><p>Top</p>{wrapper}<ul class=site-nav><li>menu</ul><article><h1>Head</h1><p>Text"
+        "<div class='related-items'><article><p>teaser</article></div><p>end</article>")
+    assert [x.text for x in lines if x.main] == (["Head", "Text", "end"] if kept else [])
+    assert "menu" not in [x.text for x in lines]
+
+
+def test_a_wrapped_article_beside_another_is_left_out():
+    lines = page_diff.page_lines(
+        "<main><p>Text</main><div class=related><article><p>teaser</article></div><p>no-sidebar")
+    assert [(x.text, x.main) for x in lines] == [("Text", True), ("no-sidebar", False)]
+
+
 def bare_page(*lines):
     return "<body>" + "".join(f"<p>{line}</p>" for line in lines)
 
