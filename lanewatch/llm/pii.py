@@ -1,8 +1,8 @@
 """Find personal data, also where it is disguised, at its place in the source text.
 
 Plain identifiers are found in the text as it is.  Then a chain of transducers rewrites the
-text: look-alike characters to plain ones, "(at)" and "dot" to their signs, spelled digits to
-digits.  Each keeps, for every character it writes, the source characters it stands for, so
+text: look-alike characters to plain ones, "(at)" to its sign, spelled digits to digits, bare
+"at" and "dot" to their signs.  Each keeps, for every character it writes, the source characters it stands for, so
 what is found in the rewritten text is mapped back.  Spans found this way are added.
 """
 
@@ -164,43 +164,55 @@ def look_alikes(mapped: Mapped) -> Mapped:
     return mapped.rewritten(sorted(dict.fromkeys(changes)))
 
 
-_BRACKETED = re.compile(r"\s{0,4}[(\[{<]\s{0,4}(at|dot|punkt|point|punto|arroba)\s{0,4}[)\]}>]\s{0,4}", re.I)
-_SPACED = re.compile(
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\s{1,4}(at)\s{1,4}"
-    r"[A-Za-z0-9-]{1,63}(?:(?:\s{1,4}dot\s{1,4}|\.)[A-Za-z0-9-]{1,63}){1,8}", re.I)
-_NUMBERS = re.compile(r"[0-9]{1,3}(?:\s{1,4}dot\s{1,4}[0-9]{1,3}){3}(?![0-9])", re.I)
-_DOT = re.compile(r"\s+dot\s+", re.I)
+_BRACKETED = re.compile(
+    r"(?<!\s)\s*+[(\[{<]\s*+(at|dot|punkt|point|punto|arroba)\s*+[)\]}>]\s*+", re.I)
 
 
-def at_and_dot(mapped: Mapped) -> Mapped:
-    """Bracketed "at" and "dot" to their signs; bare ones only where an address needs them.
-
-    A bare "at" counts between a name and a domain that a bare "dot" spells, a bare "dot" in
-    such a domain or between four numbers.
-    """
+def bracketed_signs(mapped: Mapped) -> Mapped:
+    """Bracketed "at" and "dot", with the blanks around them, to their signs."""
     changes = [(m.start(), m.end(), "@" if m[1].lower() in ("at", "arroba") else ".")
                for m in _BRACKETED.finditer(mapped.text)]
-    if changes:
-        mapped = mapped.rewritten(changes)
-    changes = []
-    for match in _SPACED.finditer(mapped.text):
-        dots = list(_DOT.finditer(mapped.text, match.end(1), match.end()))
-        if not dots:
-            continue
-        low, high = match.span(1)
-        while mapped.text[low - 1].isspace():
-            low -= 1
-        while mapped.text[high].isspace():
-            high += 1
-        changes += [(low, high, "@"), *((*m.span(), ".") for m in dots)]
-    for match in _NUMBERS.finditer(mapped.text):
-        changes += [(*m.span(), ".") for m in _DOT.finditer(mapped.text, *match.span())]
-    return mapped.rewritten(sorted(set(changes))) if changes else mapped
+    return mapped.rewritten(changes) if changes else mapped
 
 
 _NAME = "(?:" + "|".join(sorted(_DIGIT_OF, key=len, reverse=True)) + ")"
 _SPELLED = re.compile(rf"\b(?:(plus)\s{{1,4}})?{_NAME}(?:[\s,.-]{{1,3}}{_NAME}){{3,}}\b", re.I)
 _EACH = re.compile(rf"\b{_NAME}\b", re.I)
+_NUMBER = re.compile(rf"(?<![0-9])[0-9]++|\b{_NAME}\b(?:[\s,-]{{1,3}}{_NAME}\b)*+", re.I)
+_DOT = re.compile(r"(?<!\s)\s++dot\s++", re.I)
+
+
+_PLUS = re.compile(r"\bplus\s{1,4}\Z", re.I)
+
+
+def dotted_numbers(mapped: Mapped) -> Mapped:
+    """Four or more numbers, in digits or by digit names, with dots between them, to digits and dots.
+
+    The dots are bare words or signs.  Digit names with signs only may as well be a spelled
+    phone or card number, so there it must be four numbers that fit an address.
+    """
+    text, changes = mapped.text, []
+
+    def end(chain: list[re.Match]) -> None:
+        numbers = [m[0] if m[0].isdecimal() else "".join(
+            _DIGIT_OF[n[0].lower()] for n in _EACH.finditer(m[0])) for m in chain]
+        gaps = [(a.end(), b.start(), ".") for a, b in zip(chain, chain[1:])]
+        if all(text[low:high] == "." for low, high, _ in gaps) and (
+                len(chain) != 4 or _PLUS.search(text[max(0, chain[0].start() - 8):chain[0].start()])
+                or any(len(n.lstrip("0")) > 3 or int(n[-4:]) > 255 for n in numbers)):
+            return
+        if len(chain) >= 4:
+            changes.extend(sorted([*gaps, *((*m.span(), n) for m, n in zip(chain, numbers))]))
+
+    chain: list[re.Match] = []
+    for match in _NUMBER.finditer(text):
+        between = chain and text[chain[-1].end():match.start()]
+        if chain and between != "." and not _DOT.fullmatch(between):
+            end(chain)
+            chain = []
+        chain.append(match)
+    end(chain)
+    return mapped.rewritten(changes) if changes else mapped
 
 
 def spelled_digits(mapped: Mapped) -> Mapped:
@@ -219,7 +231,37 @@ def spelled_digits(mapped: Mapped) -> Mapped:
     return mapped.rewritten(changes) if changes else mapped
 
 
-_DISGUISE = re.compile(r"\bdot\b|[(\[{<]\s{0,4}(?:at|dot|punkt|point|punto|arroba)\s{0,4}[)\]}>]", re.I)
+_AT = re.compile(r"@|(?<!\s)\s++at\s++", re.I)
+_SPELLED_DOMAIN = re.compile(
+    r"[A-Za-z0-9-]++(?:(?:\s++dot\s++|\.)[A-Za-z0-9-]++)++", re.I)
+_TOP_LEVEL = re.compile(r"\.[A-Za-z]{2,}\Z")
+
+
+def at_and_dot(mapped: Mapped) -> Mapped:
+    """Bare "at" and "dot" to their signs where an address needs them.
+
+    A bare "at" counts between a name and a domain: one with a bare "dot", or one with plain dots
+    whose last part is letters.  A bare "dot" counts in a domain behind an "at" of either form.
+    """
+    text, changes, end = mapped.text, [], 0
+    for match in _AT.finditer(text):
+        if match.start() <= end or text[match.start() - 1] not in _LOCAL:
+            continue
+        domain = _SPELLED_DOMAIN.match(text, match.end())
+        if not domain:
+            continue
+        dots = [(*m.span(), ".") for m in _DOT.finditer(text, *domain.span())]
+        bare = match[0] != "@"
+        if dots or bare and _TOP_LEVEL.search(domain[0]):
+            changes += [(*match.span(), "@")] * bare + dots
+            end = domain.end()
+    return mapped.rewritten(changes) if changes else mapped
+
+
+_DISGUISE = re.compile(
+    r"\bdot\b|[(\[{<]\s*+(?:at|dot|punkt|point|punto|arroba)\s*+[)\]}>]"
+    r"|\bat\s++[A-Za-z0-9-]++\.[A-Za-z0-9]"
+    rf"|[0-9]\.{_NAME}\b|\b{_NAME}\.[0-9]", re.I)
 
 
 def disguised_spans(text: str, plain: list[Span]) -> list[Span]:
@@ -230,7 +272,7 @@ def disguised_spans(text: str, plain: list[Span]) -> list[Span]:
     mapped = Mapped.of(text)
     if strange:
         mapped = look_alikes(mapped)
-    mapped = spelled_digits(at_and_dot(mapped))
+    mapped = at_and_dot(spelled_digits(dotted_numbers(bracketed_signs(mapped))))
     added = []
     for kind, low, high in plain_spans(mapped.text):
         start, end = mapped.source(low, high)

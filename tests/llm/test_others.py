@@ -66,7 +66,38 @@ def test_disguises_map_back_to_the_source(text, kind, source):
     assert (kind, source) in [(k, text[a:b]) for k, a, b in found]
 
 
+@pytest.mark.parametrize("text, kind, source", [
+    ("ip one nine two dot one six eight dot zero dot one x", "ip",
+     "one nine two dot one six eight dot zero dot one"),
+    ("ip 192 dot one six eight (dot) 0 dot eins x", "ip", "192 dot one six eight (dot) 0 dot eins"),
+    ("ip one.two.three.four x", "ip", "one.two.three.four"),
+    ("ip 10.zero.0.1 x", "ip", "10.zero.0.1"),
+    ("call plus one.two.three.four.five.six.seven.eight.nine.zero", "phone",
+     "plus one.two.three.four.five.six.seven.eight.nine.zero"),
+    ("call plus one two three.four five six.seven eight.nine zero", "phone",
+     "plus one two three.four five six.seven eight.nine zero"),
+    ("card four one one one.one one one one.one one one one.one one one one", "card",
+     "four one one one.one one one one.one one one one.one one one one"),
+    ("mail jane at example.com now", "email", "jane at example.com"),
+    ("mail jane@example dot com now", "email", "jane@example dot com"),
+    ("mail jane at mail.example dot com now", "email", "jane at mail.example dot com"),
+    (f"mail {'j' * 90} at site dot com now", "email", f"{'j' * 90} at site dot com"),
+    (f"mail jane at {'sub dot ' * 12}com", "email", f"jane at {'sub dot ' * 12}com"),
+    (f"mail jane at {'d' * 80} dot com", "email", f"jane at {'d' * 80} dot com"),
+    (f"mail jane{' ' * 9}at{' ' * 9}site dot com", "email", f"jane{' ' * 9}at{' ' * 9}site dot com"),
+])
+def test_halves_and_long_forms_of_disguises(text, kind, source):
+    assert [(k, text[a:b]) for k, a, b in disguised_spans(text, plain_spans(text))] == [(kind, source)]
+
+
+def test_disguises_take_linear_time():
+    for text in ("a" + " " * 200_000 + "at dot", "one " * 50_000 + "dot", "x at " * 40_000 + "y.com",
+                 "( " * 100_000 + "at)", "a@b dot " * 30_000, "a" * 200_000 + " at " + "b." * 90_000):
+        disguised_spans(text, [])
+
+
 @pytest.mark.parametrize("text", [
+    "meet at 10.30 or at 1.5", "one. Two dots. Three", "he is at home. Then at work.",
     "he was at home and at ease dot", "one two three", "Привет, как дела", "at the dot of two", ""])
 def test_prose_has_no_disguises(text):
     assert disguised_spans(text, []) == []
