@@ -40,36 +40,15 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-#: Cuts that no entry of a byte-level vocabulary spans: white space begins a run, or ends one
-#: before the blank that belongs to the next word.
-_BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_BYTE_RUNS = re.compile(f" ?[^{_BLANKS}]+|[{_BLANKS}]+(?![^{_BLANKS}])|[{_BLANKS}]+")
-_PIECE_RUNS = re.compile(" +[^ ]*")
+#: A run begins with a blank behind another character than white space, or with the text.
+_WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_OTHER_WHITE = _WHITE.replace(" ", "", 1)
+_RUNS = re.compile(
+    f" [{_WHITE}]*[^{_WHITE}]+(?:[{_OTHER_WHITE}][{_WHITE}]*[^{_WHITE}]+)*(?:[{_WHITE}]+\\Z)?"
+    f"| [{_WHITE}]*\\Z")
 
 #: Runs that a worker remembers; beyond that it starts anew.
-CACHED = 400_000
-
-
-class Remembered:
-    """Ids of runs of text as 16-bit numbers, each run encoded once; None if its bytes differ."""
-
-    def __init__(self, encode, entries: list[bytes]):
-        self.encode, self.entries = encode, entries
-        self.runs: dict[str, bytes | None] = {}
-
-    def ids(self, runs: list[str]) -> bytes | None:
-        found = list(map(self.runs.get, runs))
-        if None in found:
-            new = [run for run in dict.fromkeys(runs) if run not in self.runs]
-            if len(self.runs) + len(new) > CACHED:
-                self.runs, new = {}, list(dict.fromkeys(runs))
-            for run, ids in zip(new, self.encode(new) if new else []):
-                same = b"".join(map(self.entries.__getitem__, ids)) == run.encode()
-                self.runs[run] = array("H", ids).tobytes() if same else None
-            found = list(map(self.runs.get, runs))
-            if None in found:
-                return None
-        return b"".join(found)
+REMEMBERED = 700_000
 
 
 class TokenPair:
@@ -84,6 +63,7 @@ class TokenPair:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces_path)
         letters = byte_letters()
+        self.spelling = {b: c for c, b in letters.items()}
         self.a_bytes = [b""] * self.a.get_vocab_size()
         for entry, number in self.a.get_vocab().items():
             self.a_bytes[number] = bytes(letters.get(c, 0) for c in entry)
@@ -94,8 +74,10 @@ class TokenPair:
                for k in range(len(self.b_bytes))):
             raise ValueError("an entry of the pieces spans two words")
         self.marks = {m: self.a.encode(m, add_special_tokens=False).ids for m in ("", ".", ",")}
-        self.a_runs = Remembered(self._bytes, self.a_bytes)
-        self.b_runs = Remembered(self._pieces, self.b_bytes)
+        # Ids of both as 16-bit numbers by run; runs whose bytes either does not give back.
+        self.a_runs: dict[str, bytes] = {}
+        self.b_runs: dict[str, bytes] = {}
+        self.lost: set[str] = set()
         self.a_sizes = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
         # Every number behind each separator: the text of the groups is a look-up.
@@ -110,12 +92,17 @@ class TokenPair:
         return piece.replace("\u2581", " ").encode()
 
     def _bytes(self, runs: list[str]) -> list[list[int]]:
-        # The model alone does for a blank and letters, which are never cut, with a sign behind.
-        found, others = {}, []
+        # Letters behind a blank are never cut, so the model alone does, and once for all signs
+        # behind them.  Letters beyond these are left to the whole tokenizer.
+        found, words, others = {}, {}, []
         for run in runs:
             word, mark = (run[:-1], run[-1]) if run[-1] in ".," else (run, "")
-            if run[0] == " " and word[1:].isascii() and word[1:].isalpha():
-                ids = [t.id for t in self.a.model.tokenize("\u0120" + word[1:])]
+            letters = word[1:] if word[:1] == " " else word
+            if letters.isalpha() and max(letters) <= "\u024f":
+                ids = words.get(word)
+                if ids is None:
+                    spelled = word.encode().decode("latin-1").translate(self.spelling)
+                    ids = words[word] = [t.id for t in self.a.model.tokenize(spelled)]
                 found[run] = ids + self.marks[mark]
             else:
                 others.append(run)
@@ -129,18 +116,35 @@ class TokenPair:
         found = self.b.encode([run[1:] for run in runs], num_threads=1)
         return [blank if run == " " else ids for run, ids in zip(runs, found)]
 
-    def encoded(self, text: str) -> tuple[bytes, bytes]:
+    def _learn(self, lists: list[list[str]]) -> None:
+        """Encode the runs of all lists that are not known yet."""
+        known = self.a_runs
+        new = list({run: None for runs in lists for run in runs if run not in known})
+        if len(known) + len(new) > REMEMBERED:
+            for memory in (self.a_runs, self.b_runs, self.lost):
+                memory.clear()
+            new = list({run: None for runs in lists for run in runs})
+        if not new:
+            return
+        a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+        for run, a, b in zip(new, self._bytes(new), self._pieces(new)):
+            whole = run.encode()
+            if b"".join(map(a_bytes, a)) != whole or b"".join(map(b_bytes, b)) != whole:
+                self.lost.add(run)
+            self.a_runs[run] = array("H", a).tobytes()
+            self.b_runs[run] = array("H", b).tobytes()
+
+    def encoded(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """Ids of both as 16-bit numbers; both empty where either does not give the bytes back.
 
-        Runs are encoded apart: entries of the first tokenizer never span its runs, those of
-        the second never hold a blank behind another character.
+        Runs are encoded apart.  A byte-level tokenizer cuts before such a blank, and the other
+        has no entry that holds a blank behind another character.
         """
-        if not text:
-            return b"", b""
-        text = " " + text
-        first = self.a_runs.ids(_BYTE_RUNS.findall(text))
-        second = self.b_runs.ids(_PIECE_RUNS.findall(text))
-        return (b"", b"") if first is None or second is None else (first, second)
+        lists = [_RUNS.findall(" " + text) if text else [] for text in texts]
+        self._learn(lists)
+        a, b = self.a_runs.__getitem__, self.b_runs.__getitem__
+        return [(b"", b"") if self.lost and not self.lost.isdisjoint(runs)
+                else (b"".join(map(a, runs)), b"".join(map(b, runs))) for runs in lists]
 
 
 _LOADED: dict[tuple[str, str], TokenPair] = {}
@@ -189,7 +193,7 @@ def aligned_ends(a_ends: np.ndarray, b_ends: np.ndarray):
 
 def _aligned(pair: TokenPair, texts: list[str]):
     """Per text: tokens, groups, links, the groups' text digest, and its links' pair keys."""
-    a_ids, b_ids = zip(*map(pair.encoded, texts))
+    a_ids, b_ids = zip(*pair.encoded(texts))
     a_counts = np.array([len(x) // 2 for x in a_ids], np.int64)
     b_counts = np.array([len(x) // 2 for x in b_ids], np.int64)
     a = np.frombuffer(b"".join(a_ids), np.uint16).astype(np.int64)
