@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lanewatch.operators.matching import radius_join
 from lanewatch.places import EMISSIONS_TOPIC, FCD_TOPIC, RADIUS_M, places_table
@@ -42,6 +42,50 @@ def _result_frame(aggregated: DataFrame, name: str, measures: Iterable[str]) ->
     )
 
 
+def _sliding_distinct(matched: DataFrame, pane: str, micros: int, reach: int) -> DataFrame:
+    """Exact distinct vehicles per sliding window, by counting differences.
+
+    A vehicle seen in pane p is in the ``reach`` windows that begin at p - reach + 1 to p.
+    Panes at most ``reach`` apart open one run of windows without a gap, so a vehicle adds one
+    where a run begins and takes one off behind its end.  Running sums of these differences
+    are the counts; rows are repeated only as results, never as sightings.  A vehicle without
+    an id keeps its windows, and counts for nothing.
+    """
+    at = F.floor(F.unix_micros(F.window("event_time", pane)["start"]) / F.lit(micros))
+    place = ["location_lat", "location_lon"]
+    seen = matched.groupBy(*place, "vehicle_id", at.alias("pane")).agg(
+        F.count(F.lit(1)).alias("sightings"))
+    in_order = Window.partitionBy(*place, "vehicle_id").orderBy("pane")
+    runs = seen.select(
+        *place, "vehicle_id", "pane", F.lag("pane").over(in_order).alias("earlier"),
+        F.lead("pane").over(in_order).alias("later"))
+    begins = F.when(
+        F.col("earlier").isNull() | (F.col("pane") - F.col("earlier") > reach),
+        F.struct((F.col("pane") - (reach - 1)).alias("first"), F.lit(1).alias("step")))
+    ends = F.when(
+        F.col("later").isNull() | (F.col("later") - F.col("pane") > reach),
+        F.struct((F.col("pane") + 1).alias("first"), F.lit(-1).alias("step")))
+    steps = runs.select(
+        *place, F.col("vehicle_id").isNotNull().cast("int").alias("known"),
+        F.inline(F.array_compact(F.array(begins, ends))))
+    changes = steps.groupBy(*place, "first").agg(
+        F.sum("step").alias("open"), F.sum(F.col("step") * F.col("known")).alias("cars"))
+    along = Window.partitionBy(*place).orderBy("first")
+    so_far = along.rowsBetween(Window.unboundedPreceding, 0)
+    held = changes.select(
+        *place, "first", F.sum("open").over(so_far).alias("open"),
+        F.sum("cars").over(so_far).alias("distinct_cars_count"),
+        F.lead("first").over(along).alias("next"))
+    counted = held.where("open > 0").select(
+        *place, "distinct_cars_count",
+        F.explode(F.sequence(F.col("first"), F.col("next") - 1)).alias("first"))
+    start = F.col("first") * F.lit(micros)
+    return counted.select(
+        F.struct(F.timestamp_micros(start).alias("start"),
+                 F.timestamp_micros(start + F.lit(micros * reach)).alias("end")).alias("window"),
+        *place, "distinct_cars_count")
+
+
 def traffic(
     positions: DataFrame,
     spec: WindowSpec = WindowSpec(),
@@ -56,10 +100,17 @@ def traffic(
     spreads by vehicle: neither a crowded place nor one chatty vehicle ends up
     in one task, and a stream's state is one small entry per vehicle instead
     of a growing set per place.  ``approx`` keeps one fixed-size sketch per
-    window and place.
+    window and place.  Sliding windows made of whole slides are counted by
+    differences in batch, without repeating sightings for the windows they are in.
     ``salts`` is for place tables too large to broadcast; see ``radius_join``.
     """
-    matched = match_to_places(positions, places, spec, salts).withColumn("window", spec.column())
+    window = spec.column()
+    matched = match_to_places(positions, places, spec, salts)
+    panes = None if matched.isStreaming else spec.panes()
+    if mode == "exact" and panes:
+        return _result_frame(
+            _sliding_distinct(matched, spec.pane(), *panes), "traffic", ["distinct_cars_count"])
+    matched = matched.withColumn("window", window)
     if mode == "exact":
         seen = matched.groupBy(*KEYS, "vehicle_id").agg(F.count(F.lit(1)).alias("sightings"))
         counted = seen.groupBy(*KEYS).agg(F.count("vehicle_id").alias("distinct_cars_count"))

@@ -41,3 +41,12 @@ class WindowSpec:
             return None
         whole = slide > pd.Timedelta(0) and length % slide == pd.Timedelta(0)
         return self.slide if whole else None
+
+    def panes(self) -> tuple[int, int] | None:
+        """Microseconds of a pane and panes of a window, where sliding windows are made of panes."""
+        pane = self.pane()
+        if pane is None:
+            return None
+        length, slide = pd.Timedelta(self.length), pd.Timedelta(pane)
+        micros = slide // pd.Timedelta(microseconds=1)
+        return (micros, length // slide) if slide == pd.Timedelta(microseconds=micros) else None

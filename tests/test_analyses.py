@@ -2,6 +2,7 @@
 
 import json
 from datetime import datetime, timezone
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,6 +43,35 @@ def test_sliding_windows(spark):
                    (60, 120): 2, (70, 130): 1}
 
 
+@pytest.mark.parametrize("length,slide", [
+    ("60 seconds", "10 seconds"), ("60 seconds", "60 seconds"), ("45 seconds", "10 seconds"),
+    ("2 seconds", "250 milliseconds"), ("30 seconds", "15 seconds")])
+def test_sliding_counts_equal_plain_grouping(spark, length, slide):
+    random = Random(7)
+    rows = [(random.choice(["a", "b", "c", None]), *random.choice(PLACES[:3])[1:],
+             BASE + random.choice([0, 3_600_000, -5_000]) + random.randrange(400_000))
+            for _ in range(60)] + [("z", LAT, LON, BASE + 60_000)] * 3 + [("z", LAT, LON, None)]
+    df = spark.createDataFrame(
+        rows, "vehicle_id string, vehicle_lat double, vehicle_lon double, ms long",
+    ).withColumn("event_time", F.timestamp_millis("ms")).drop("ms")
+    spec = WindowSpec("sliding", length, slide)
+    windowed = an.match_to_places(df, None, spec).withColumn("window", spec.column())
+    plain = windowed.groupBy("window", "location_lat", "location_lon").agg(
+        F.count_distinct("vehicle_id").alias("n")).select(
+        "window.start", "window.end", "location_lat", "location_lon", "n")
+    got = an.traffic(df, spec).drop("analysis_type")
+    assert got.dtypes[:2] == [("window_start", "timestamp"), ("window_end", "timestamp")]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_sliding_counts_repeat_no_sighting(spark, capsys):
+    df = positions(spark, [("a", 65), ("b", 70)])
+    an.traffic(df, WindowSpec("sliding")).explain("formatted")
+    assert "Expand" not in capsys.readouterr().out
+    an.traffic(df, WindowSpec("sliding", "45 seconds")).explain("formatted")
+    assert "Expand" in capsys.readouterr().out
+
+
 def test_only_null_vehicles_give_a_zero_row_either_way(spark):
     df = positions(spark, [(None, 0)])
     assert counts(an.traffic(df)) == counts(an.traffic(df, mode="approx")) == {(0, 60): 0}
