@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lanewatch.schemas import CAPTURED_FRAME
+from lanewatch.sources.blocks import file_opener, read_block_ranges
 
 SPLIT_BYTES = 64 * 1024 * 1024
 
@@ -42,13 +43,7 @@ def _range_tasks():
     }
     file_header, record_header = 24, 16
 
-    def open_file(path):
-        from pyarrow import fs
-
-        if path.startswith("file:/"):
-            return fs.LocalFileSystem().open_input_file("/" + path[5:].lstrip("/"))
-        system, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-        return system.open_input_file(inner)
+    open_file = file_opener()
 
     def read_header(file, path):
         head = file.read(file_header)
@@ -165,14 +160,45 @@ def _range_tasks():
     return probe, mend, read
 
 
-def read_captures(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+def _first_bytes():
+    """A function that adds each file's first four bytes; it travels whole."""
+    open_file = file_opener()
+
+    def look(batches):
+        for files in batches:
+            heads = []
+            for path in files["path"]:
+                with open_file(path) as file:
+                    heads.append(file.read(4))
+            yield files.assign(head=heads)
+
+    return look
+
+
+def read_captures(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES,
+                  form: str = "classic") -> DataFrame:
     """Frames of all ``.pcap`` files: file_name, packet_no, timestamp, link_type, frame.
 
-    ``packet_no`` counts from 1 in each file, in file order.  Both byte orders
-    and both time resolutions of the classic format are read.  One short job
-    counts the ranges, so that each can be a task of its own.
+    ``packet_no`` counts from 1 in each file, in file order.  ``form`` is ``classic`` (both
+    byte orders, both time resolutions), ``block`` (pcapng: sections of either byte order,
+    each with interfaces of their own link type and time resolution), or ``any``, which looks
+    at the first bytes of every file.  In the block format, simple packet blocks have no time,
+    and a packet of an interface that is not described has link type -1.  One short job counts
+    the ranges, so that each can be a task of its own.
     """
+    if form not in ("classic", "block", "any"):
+        raise ValueError(f"unknown capture form {form!r}")
     files = capture_files(spark, path)
+    if form == "any":
+        headed = files.repartition(max(1, min(spark.sparkContext.defaultParallelism, 1000))).mapInPandas(
+            _first_bytes(), "path string, length long, head binary")
+        is_block = F.col("head") == F.lit(b"\x0a\x0d\x0d\x0a")
+        return _read_ranges(headed.filter(~is_block).drop("head"), split_bytes, False).unionByName(
+            _read_ranges(headed.filter(is_block).drop("head"), split_bytes, True))
+    return _read_ranges(files, split_bytes, form == "block")
+
+
+def _read_ranges(files: DataFrame, split_bytes: int, blocks: bool) -> DataFrame:
     last = F.ceil(F.col("length") / split_bytes).cast("long") - 1
     ranges = files.filter(F.col("length") > 0).select(
         "path", "length", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("split")
@@ -182,6 +208,8 @@ def read_captures(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES
     })
     count = ranges.count()
     tasks = max(1, min(count, 100_000))
+    if blocks:
+        return read_block_ranges(ranges, tasks)
     probe, mend, read = _range_tasks()
     shape = ("path string, split long, stop long, length long,"
              " first long, after long, records long")

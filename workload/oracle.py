@@ -291,6 +291,9 @@ def oracle_sql() -> dict[str, str]:
         "packet_capture_scan":
             f"with {_PACKETS} select file_name, packet_no, timestamp, protocol, length, src_port,"
             " payload_len from packets",
+        "packet_block_capture_scan":
+            f"with {_PACKETS} select file_name, packet_no, timestamp, protocol, length, src_port,"
+            " payload_len from packets",
         "packet_filter_sort":
             f"with {_PACKETS} select file_name, packet_no, src_ip, dst_ip, dst_port, length,"
             " tcp_flags from packets where protocol = 'TCP' and length > 80 and dst_port = 443"

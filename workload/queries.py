@@ -267,6 +267,16 @@ def packet_capture_scan(spark, sf_dir):
         "file_name", "packet_no", "timestamp", "protocol", "length", "src_port", "payload_len"))
 
 
+@query("packet_block_capture_scan")
+def packet_block_capture_scan(spark, sf_dir):
+    """Block-format captures of all packets, read back in small ranges."""
+    folder = working_path(spark, "block-captures")
+    feed.write_captures(feed.packet_frames(table(spark, sf_dir, "events")), folder, blocks=True)
+    read = read_captures(spark, folder, split_bytes=64 * 1024, form="block")
+    return rounded(decode_packets(read).select(
+        "file_name", "packet_no", "timestamp", "protocol", "length", "src_port", "payload_len"))
+
+
 @query("packet_filter_sort")
 def packet_filter_sort(spark, sf_dir):
     kept = filter_terms(packets(spark, sf_dir), "protocol=tcp,length>80,dst_port=443")
