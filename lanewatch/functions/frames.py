@@ -73,8 +73,7 @@ def network_type(frame: Column, link_type: Column, network: Column) -> Column:
 
 def tcp_flag_letters(bits: Column) -> Column:
     """``0x12 -> 'SA'``: one letter per set bit, lowest bit first."""
-    letters = F.array(*(F.lit(letter) for letter in TCP_FLAG_LETTERS))
-    masks = F.array(*(F.lit(1 << i) for i in range(len(TCP_FLAG_LETTERS))))
-    is_set = F.filter(
-        letters, lambda letter, i: bits.bitwiseAND(F.get(masks, i)) != 0)
-    return F.when(bits.isNotNull(), F.array_join(is_set, ""))
+    letters = [
+        F.when(bits.bitwiseAND(F.lit(1 << i)) != 0, letter).otherwise("")
+        for i, letter in enumerate(TCP_FLAG_LETTERS)]
+    return F.when(bits.isNotNull(), F.concat(*letters))

@@ -173,6 +173,39 @@ def packet_frames(events: DataFrame) -> DataFrame:
                          for f in CAPTURED_FRAME.fields))
 
 
+def layered_frames(events: DataFrame) -> DataFrame:
+    """The packets again, one in two behind tags, labels, tunnels or extension headers."""
+    frames = packet_frames(events)
+    frame = F.col("_frame")
+    number = F.col("packet_no") % 8
+
+    def at(start: int, size: int) -> Column:
+        return F.substring(frame, start + 1, size)
+
+    macs, behind, size = at(0, 12), F.expr("substring(_frame, 13)"), F.length(frame)
+    packet = F.expr("substring(_frame, 15)")
+    is_ip = at(12, 2) == F.lit(bytes.fromhex("0800"))
+
+    def word(value: Column) -> Column:
+        return F.unhex(_hex(value, 2))
+
+    def fixed(digits: str) -> Column:
+        return F.lit(bytes.fromhex(digits))
+
+    tagged = F.concat(macs, fixed("88a80001" "81000002"), behind)
+    labelled = F.concat(macs, fixed("8847" "0001000a" "0002010a"), packet)
+    extended = F.concat(  # IPv6, hop by hop, then the IPv4 packet
+        macs, fixed("86dd" "60000000"), word(size - 14 + 8), fixed("0040" + "00" * 32),
+        fixed("0400000000000000"), packet)
+    bridged = F.concat(  # IPv4, GRE with a key, then the whole frame
+        macs, fixed("0800" "4500"), word(size + 28), fixed("00000000" "402f0000" "01020304" "05060708"),
+        fixed("20006558" "00000007"), frame)
+    wrapped = F.when(number == 1, tagged).when(is_ip & (number == 3), labelled).when(
+        is_ip & (number == 5), extended).when(number == 7, bridged).otherwise(frame)
+    return computed_once(frames.withColumnRenamed("frame", "_frame"), {
+        "frame": wrapped}, keep=["file_name", "packet_no", "timestamp", "link_type"])
+
+
 def _file_writer(folder: str):
     """Write one capture per group; made here so that it travels whole."""
 

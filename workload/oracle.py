@@ -294,6 +294,26 @@ def oracle_sql() -> dict[str, str]:
         "packet_block_capture_scan":
             f"with {_PACKETS} select file_name, packet_no, timestamp, protocol, length, src_port,"
             " payload_len from packets",
+        "packet_layers": f"""with {_PACKETS},
+            wrapped as (select *, case when packet_no % 8 = 1 then 'tags'
+              when packet_no % 8 = 7 then 'bridge'
+              when protocol in ('ARP', 'OTHER') then 'plain'
+              when packet_no % 8 = 3 then 'labels' when packet_no % 8 = 5 then 'extended'
+              else 'plain' end as wrap,
+              case when protocol = 'ARP' then '/ARP' when protocol <> 'OTHER' then '/IPv4/' || protocol
+                when length > 14 then '/Raw' else '' end as tail from packets),
+            named as (select *, case wrap when 'tags' then 'Ethernet/802.1Q/802.1Q'
+              when 'bridge' then 'Ethernet/IPv4/GRE/Ethernet' when 'labels' then 'Ethernet/MPLS/MPLS'
+              when 'extended' then 'Ethernet/IPv6/HopByHop' else 'Ethernet' end || tail as layers
+              from wrapped)
+            select file_name, packet_no, layers, regexp_extract(layers, '[^/]*$') as last_layer,
+              case when protocol <> 'OTHER' then protocol when wrap = 'bridge' then 'IP'
+                else regexp_extract(layers, '[^/]*$') end as protocol,
+              case when wrap = 'bridge' and protocol <> 'ARP' then '1.2.3.4' else src_ip end as src_ip,
+              case when wrap = 'bridge' and protocol <> 'ARP' then '5.6.7.8' else dst_ip end as dst_ip,
+              case when wrap = 'bridge' then 64 else ttl end as ttl, dst_port, tcp_flags, payload_len,
+              length + case wrap when 'tags' then 8 when 'labels' then 8 when 'extended' then 48
+                when 'bridge' then 42 else 0 end as length from named""",
         "packet_filter_sort":
             f"with {_PACKETS} select file_name, packet_no, src_ip, dst_ip, dst_port, length,"
             " tcp_flags from packets where protocol = 'TCP' and length > 80 and dst_port = 443"

@@ -25,6 +25,7 @@ from lanewatch.plans.events import (
 from lanewatch.plans.features import (
     features, map_centre, scale_bounds, usable_results, with_colours, with_labels,
 )
+from lanewatch.plans.layers import packet_layers
 from lanewatch.plans.messages import parse_messages, result_messages
 from lanewatch.plans.packets import decode_packets, number_packets, summarise_by_label
 from lanewatch.schemas import FCD_EVENT, POLLUTANTS
@@ -277,6 +278,13 @@ def packet_block_capture_scan(spark, sf_dir):
         "file_name", "packet_no", "timestamp", "protocol", "length", "src_port", "payload_len"))
 
 
+@query("packet_layers")
+def layered_packets(spark, sf_dir):
+    return packet_layers(feed.layered_frames(table(spark, sf_dir, "events"))).select(
+        "file_name", "packet_no", "layers", "last_layer", "protocol", "src_ip", "dst_ip", "ttl",
+        "dst_port", "tcp_flags", "payload_len", "length")
+
+
 @query("packet_filter_sort")
 def packet_filter_sort(spark, sf_dir):
     kept = filter_terms(packets(spark, sf_dir), "protocol=tcp,length>80,dst_port=443")
