@@ -262,6 +262,9 @@ def oracle_sql() -> dict[str, str]:
         "group_median_approx":
             "select l_returnflag, l_linestatus, count(l_extendedprice) as l_extendedprice_count,"
             " true as median_close from lineitem group by all",
+        "group_median_sketch":
+            "select l_returnflag, l_linestatus, count(l_extendedprice) as values,"
+            " count(l_extendedprice) as rows, true as median_close from lineitem group by all",
         "numeric_validation":
             "select * from (values"
             " ('c_name', (select count(c_name) from customer), 0, 'empty'),"
@@ -363,6 +366,13 @@ def oracle_sql() -> dict[str, str]:
         "traffic_tumbling": _traffic(),
         "traffic_sliding": _traffic(sliding=True),
         "traffic_approx": _APPROX_FRAME,
+        "traffic_sketch_windows": _traffic(sliding=True).replace(
+            " from windowed", ", true as sketch_close from windowed"),
+        "traffic_sketch_days":
+            f"with {_windows(False, False)} select strftime(make_timestamp(ms*1000), '%Y-%m-%d')"
+            " as period, round(lat, 9) as location_x, round(lon, 9) as location_y,"
+            " count(distinct id) as distinct_cars_count, true as sketch_close"
+            " from windowed group by all",
         "pollution_tumbling": _pollution(),
         "pollution_sliding": _pollution(sliding=True),
         "pollution_null_as_zero": _pollution(as_zero=True),

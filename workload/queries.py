@@ -15,6 +15,9 @@ from lanewatch.operators.filters import (
 from lanewatch.operators.matching import radius_join, with_place_name
 from lanewatch.operators.metrics import count_rows, observe_rows, rows_per
 from lanewatch.operators.profile import STATS, group_profile, numeric_report
+from lanewatch.operators.sketches import (
+    KLL_RANK_ERROR, distinct_sketches, merged_distinct, merged_quantile, quantile_sketches, rank_errors,
+)
 from lanewatch.operators.sorting import sort_terms
 from lanewatch.places import EMISSIONS_TOPIC, FCD_TOPIC, PLACES, places_table
 from lanewatch.plans.analyses import analyse_records, pollution, traffic
@@ -191,12 +194,26 @@ def group_median_approx(spark, sf_dir):
     keys = ["l_returnflag", "l_linestatus"]
     lines = table(spark, sf_dir, "lineitem")
     sketched = group_profile(lines, keys, ["l_extendedprice"], median="approx", check=False)
-    exact = lines.groupBy(*keys).agg(
-        F.percentile("l_extendedprice", [0.45, 0.55]).alias("bounds"))
-    inside = F.col("l_extendedprice_median").between(
-        F.col("bounds").getItem(0), F.col("bounds").getItem(1))
-    return sketched.join(exact, keys).select(
-        *keys, "l_extendedprice_count", inside.alias("median_close"))
+    # Counted, so that no task holds a group's values.
+    errors = rank_errors(lines, sketched, keys, "l_extendedprice", 0.5, "l_extendedprice_median")
+    return sketched.join(errors, keys).select(
+        *keys, "l_extendedprice_count", (F.col("rank_error") <= 0.05).alias("median_close"))
+
+
+@query("group_median_sketch")
+def group_median_sketch(spark, sf_dir):
+    """Quantile sketches per group and supplier nation, stored, then merged over the nations.
+
+    The merged sketch's median lies within the stated rank error, by counting.
+    """
+    keys = ["l_returnflag", "l_linestatus"]
+    lines = table(spark, sf_dir, "lineitem").withColumn("part", F.col("l_suppkey") % 25)
+    path = working_path(spark, "quantile-sketches")
+    quantile_sketches(lines, [*keys, "part"], "l_extendedprice").write.parquet(path)
+    answers = merged_quantile(spark.read.parquet(path), keys, 0.5)
+    errors = rank_errors(lines, answers, keys, "l_extendedprice", 0.5)
+    return answers.join(errors, keys).select(
+        *keys, "values", "rows", (F.col("rank_error") <= KLL_RANK_ERROR).alias("median_close"))
 
 
 @query("numeric_validation")
@@ -437,6 +454,36 @@ def traffic_approx(spark, sf_dir):
     return shown(exact.join(near, keys).select(*keys, close.alias("close_to_exact")))
 
 
+@query("traffic_sketch_windows")
+def traffic_sketch_windows(spark, sf_dir):
+    """Sliding windows merged out of stored panes, beside the exact counts."""
+    path = working_path(spark, "vehicle-sketches")
+    distinct_sketches(feed.positions(spark, sf_dir)).write.parquet(path)
+    merged = merged_distinct(spark.read.parquet(path), SLIDING)
+    keys = ["window_start", "window_end", "location_x", "location_y"]
+    met = traffic(feed.positions(spark, sf_dir), SLIDING).join(merged, keys)
+    off = F.abs(F.col("distinct_cars_estimate") - F.col("distinct_cars_count"))
+    close = off <= F.greatest(F.lit(1.0), F.col("distinct_cars_count") * 0.05)
+    return shown(met.withColumn("sketch_close", close).drop("distinct_cars_estimate"))
+
+
+@query("traffic_sketch_days")
+def traffic_sketch_days(spark, sf_dir):
+    """Distinct vehicles per place and day out of the same panes: events are read once."""
+    path = working_path(spark, "vehicle-sketches")
+    positions = feed.positions(spark, sf_dir)
+    distinct_sketches(positions).write.parquet(path)
+    merged = merged_distinct(spark.read.parquet(path), period=F.to_date("pane_start"))
+    exact = traffic(positions, WindowSpec("tumbling", "1 day")).select(
+        F.to_date("window_start").alias("period"), "location_x", "location_y",
+        "distinct_cars_count")
+    off = F.abs(F.col("distinct_cars_estimate") - F.col("distinct_cars_count"))
+    close = off <= F.greatest(F.lit(1.0), F.col("distinct_cars_count") * 0.05)
+    return merged.join(exact, ["period", "location_x", "location_y"]).select(
+        F.col("period").cast("string").alias("period"), "location_x", "location_y",
+        "distinct_cars_count", close.alias("sketch_close"))
+
+
 @query("pollution_tumbling")
 def pollution_tumbling(spark, sf_dir):
     return shown(pollution(feed.emissions(spark, sf_dir)))
