@@ -325,3 +325,26 @@ def write_vehicle_xml(events: DataFrame, kind: str, folder: str) -> None:
         F.when(marked, '<person id="p" x="1" y="1"/>\n').otherwise(""),
         F.col("vehicles"), F.lit("\n</timestep>"))
     steps.select(text.alias("value")).write.mode("overwrite").text(folder)
+
+
+def write_broken_xml(events: DataFrame, folder: str) -> None:
+    """Timesteps of at most 16 vehicles; five in ten chunks hold a fault of their own kind.
+
+    Chunk 0 of ten has no time, 1 a time that is no number, 2 a tag that is not closed, 3 a
+    timestep without its end before a sound one, 4 an end without a beginning.
+    """
+    number = F.floor(F.col("event_id") / 16)
+    fault = number % 10
+    vehicle = F.concat(F.lit('<vehicle id="v'), F.col("event_id").cast("string"), F.lit('" x="1"/>'))
+    chunks = events.groupBy(number.alias("number"), fault.alias("fault")).agg(
+        F.concat_ws("", F.sort_array(F.collect_list(vehicle))).alias("vehicles"))
+    timed = F.concat(F.lit('<timestep time="'), F.col("number").cast("string"), F.lit('.00">'))
+    vehicles, end = F.col("vehicles"), F.lit("</timestep>")
+    text = (
+        F.when(F.col("fault") == 0, F.concat(F.lit("<timestep>"), vehicles, end))
+        .when(F.col("fault") == 1, F.concat(F.lit('<timestep time="soon">'), vehicles, end))
+        .when(F.col("fault") == 2, F.concat(timed, vehicles, F.lit('<vehicle id="'), end))
+        .when(F.col("fault") == 3, F.concat(timed, vehicles, timed, vehicles, end))
+        .when(F.col("fault") == 4, F.concat(vehicles, end))
+        .otherwise(F.concat(F.lit('<timestep time="7.00"/>'), timed, vehicles, end)))
+    chunks.select(text.alias("value")).write.text(folder)

@@ -418,6 +418,14 @@ def oracle_sql() -> dict[str, str]:
             " location_y, case analysis_type when 'traffic' then 'Traffic' else 'Pollution' end"
             " as label_kind, distinct_cars_count::varchar as label_distinct_cars,"
             f" {_LABELS} from results {_NAMED}",
+        "feature_frames":
+            f"{_COLOURED} select window_start as frame, 'FeatureCollection' as type,"
+            f" count(*) as features, true as sound from coloured {_NAMED} group by all",
+        "malformed_timesteps":
+            "select ['no_time', 'bad_time', 'not_xml', 'unclosed', 'no_opening']"
+            "[event_id // 16 % 10 + 1] as kind, count(distinct event_id // 16) as timesteps,"
+            " count(*) as vehicles, count(distinct event_id // 16) as placed"
+            " from events where event_id // 16 % 10 < 5 group by all",
         "features":
             f"{_COLOURED} select analysis_type, window_start as time, location_x, location_y,"
             " name as place_name, colour, 'Polygon' as shape, 65 as ring_points,"

@@ -33,11 +33,11 @@ from lanewatch.plans.messages import parse_messages, result_messages
 from lanewatch.plans.packets import decode_packets, number_packets, summarise_by_label
 from lanewatch.schemas import FCD_EVENT, POLLUTANTS
 from lanewatch.session import working_path
-from lanewatch.sinks.tables import write_csv_table
+from lanewatch.sinks.tables import write_csv_table, write_frame_collections
 from lanewatch.sources.captures import read_captures
 from lanewatch.sources.tables import read_csv_table
 from lanewatch.sources.topics import result_table
-from lanewatch.sources.vehicle_xml import read_vehicle_xml
+from lanewatch.sources.vehicle_xml import malformed_timesteps, read_vehicle_xml
 from lanewatch.streaming.runner import start_analyses, start_union
 from lanewatch.streaming.windows import WindowSpec
 from workload import feed
@@ -334,6 +334,18 @@ def emission_xml_ingest(spark, sf_dir):
     return rounded(ingested_xml(spark, sf_dir, "emission"))
 
 
+@query("malformed_timesteps")
+def malformed_vehicle_steps(spark, sf_dir):
+    """Bad timesteps by kind, with the vehicles in their texts."""
+    folder = working_path(spark, "broken-xml")
+    feed.write_broken_xml(table(spark, sf_dir, "events"), folder)
+    bad = malformed_timesteps(spark, folder, "fcd")
+    return bad.groupBy("kind").agg(
+        F.count(F.lit(1)).alias("timesteps"),
+        F.sum(F.regexp_count("text", F.lit('<vehicle id="v'))).alias("vehicles"),
+        F.count_if(F.col("block_bytes") > 0).alias("placed"))
+
+
 @query("timestep_counts")
 def timestep_counts(spark, sf_dir):
     return rows_per(ingested_xml(spark, sf_dir, "fcd"), "timestep")
@@ -642,3 +654,20 @@ def map_features(spark, sf_dir):
         part("$.properties.style.fillColor").alias("fill"),
         part("$.properties.style.weight").cast("int").alias("weight"),
         part("$.properties.style.fillOpacity").cast("double").alias("fill_opacity"))
+
+
+@query("feature_frames")
+def feature_frames(spark, sf_dir):
+    """The frames' documents, written, read whole and parsed."""
+    path = working_path(spark, "frames")
+    write_frame_collections(features(usable_results(results(spark, sf_dir))), path)
+    documents = spark.read.text(path, wholetext=True)
+    parsed = F.from_json("value", "type string, features array<struct<type string,"
+                         "properties struct<time string>>>", {"mode": "FAILFAST"})
+    time = iso_instant(F.col("at"))
+    return documents.select(
+        F.col("frame").cast("timestamp").alias("at"), parsed.alias("document")).select(
+        time.alias("frame"), F.col("document.type").alias("type"),
+        F.size("document.features").cast("long").alias("features"),
+        F.forall("document.features", lambda f: (f["type"] == "Feature") & (
+            f["properties"]["time"] == time)).alias("sound"))
