@@ -25,7 +25,7 @@ def schema_errors(value, schema: dict, place: str = "$") -> list[str]:
     kind = schema.get("type")
     if kind in ("integer", "number"):
         fits = isinstance(value, (int, float)) and not isinstance(value, bool) and (
-            kind == "number" or float(value).is_integer())
+            kind == "number" or isinstance(value, int) or value.is_integer())
     else:
         fits = value is None if kind == "null" else isinstance(value, _TYPES.get(kind, object))
     if not fits:
@@ -68,10 +68,17 @@ def _whole_numbers(value):
     return value
 
 
+def _escaped(text: str) -> str:
+    return re.sub("[\ud800-\udfff]", lambda half: f"\\u{ord(half.group()):04x}", text)
+
+
 def canonical(value) -> str:
-    """JSON with sorted names, no blanks, and whole numbers without a fraction."""
-    return json.dumps(_whole_numbers(value), sort_keys=True, separators=(",", ":"),
-                      ensure_ascii=False, allow_nan=False)
+    """JSON with sorted names, no blanks, and whole numbers without a fraction.
+
+    Halves of surrogate pairs, which no text can hold, stay escaped.
+    """
+    return _escaped(json.dumps(_whole_numbers(value), sort_keys=True, separators=(",", ":"),
+                               ensure_ascii=False, allow_nan=False))
 
 
 def _refused(constant: str):
@@ -87,7 +94,7 @@ def checked_arguments(name: str | None, text: str | None, schemas: dict[str, dic
         return None, ["$: not JSON"]
     if name not in schemas:
         return value, ["$: unknown tool"]
-    return value, schema_errors(value, schemas[name])
+    return value, [_escaped(error) for error in schema_errors(value, schemas[name])]
 
 
 #: Steps are never counted beyond this: only cycles, which double them without end, reach it.

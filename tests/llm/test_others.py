@@ -166,6 +166,27 @@ def test_tool_calls(spark, rows):
     assert nothing.count() == 0
 
 
+def test_arguments_that_no_double_and_no_text_hold(rows):
+    """Integers of hundreds of digits and halves of surrogate pairs are faults of one call, or none."""
+    schema = {"t": {"type": "object", "additionalProperties": False, "properties": {
+        "n": {"type": "integer", "maximum": 5}, "s": {"type": "string"}}}}
+    big = "1" + "0" * 400
+    calls = rows(
+        "conv_id long, turn long, call_id string, name string, arguments string, depends array<string>", [
+            (1, 1, "a", "t", f'{{"n": {big}}}', []), (1, 2, "b", "t", '{"s": "x\\ud800y"}', []),
+            (1, 3, "c", "t", '{"\\udc00": 1, "n": 3.0}', []), (1, 4, "d", "t", '{"s": "\\ud83d\\ude00"}', []),
+            (1, 5, "e", "t", '{"n": 1e999}', []), (1, 6, "f", "t", '{"n": ' + "9" * 5000 + "}", []),
+            (1, 7, "g", "t", '{"n": 2.5}', [])])
+    results = rows("conv_id long, turn long, call_id string, content string", [
+        (1, 9, c, "r") for c in "abcdefg"])
+    got = {r["call_id"]: r for r in link_tool_calls(calls, results, schema).collect()}
+    assert {c: r["errors"] for c, r in got.items()} == {
+        "a": "$.n: above 5", "b": "", "c": "$.\\udc00: unknown", "d": "", "e": "$: not JSON",
+        "f": "$: not JSON", "g": "$.n: not of type integer"}
+    assert '"s":"x\\ud800y"' in got["b"]["json"] and '"s":"\U0001f600"' in got["d"]["json"]
+    assert f'"n":{big}' in got["a"]["json"] and '"\\udc00":1' in got["c"]["json"]
+
+
 def test_tool_call_query_against_brute_force(spark):
     turns = {(r["conv_id"], r["turn"]): r for r in table(spark, SF, "conversations").collect()}
     got = {(r["conv_id"], r["turn"]): r for r in llm.op4_tool_calls(spark, SF).collect()}
