@@ -9,10 +9,13 @@ what is found in the rewritten text is mapped back.  Spans found this way are ad
 from __future__ import annotations
 
 import hashlib
+import html
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -164,6 +167,16 @@ def look_alikes(mapped: Mapped) -> Mapped:
     return mapped.rewritten(sorted(dict.fromkeys(changes)))
 
 
+# Character references of the two signs.
+_REFERENCE = re.compile(r"&#0*+(?:64|46);|&#x0*+(?:40|2e);|&(?:commat|period);", re.I)
+
+
+def character_references(mapped: Mapped) -> Mapped:
+    """Character references of "@" and "." to these."""
+    changes = [(m.start(), m.end(), html.unescape(m[0].lower())) for m in _REFERENCE.finditer(mapped.text)]
+    return mapped.rewritten(changes) if changes else mapped
+
+
 _BRACKETED = re.compile(
     r"(?<!\s)\s*+[(\[{<]\s*+(at|dot|punkt|point|punto|arroba)\s*+[)\]}>]\s*+", re.I)
 
@@ -176,8 +189,10 @@ def bracketed_signs(mapped: Mapped) -> Mapped:
 
 
 _NAME = "(?:" + "|".join(sorted(_DIGIT_OF, key=len, reverse=True)) + ")"
-_SPELLED = re.compile(rf"\b(?:(plus)\s{{1,4}})?{_NAME}(?:[\s,.-]{{1,3}}{_NAME}){{3,}}\b", re.I)
+_DIGIT = rf"(?:{_NAME}|(?<![0-9])[0-9](?![0-9]))"
+_SPELLED = re.compile(rf"\b(?:(plus)\s{{1,4}})?{_DIGIT}(?:[\s,.-]{{1,3}}{_DIGIT}){{3,}}\b", re.I)
 _EACH = re.compile(rf"\b{_NAME}\b", re.I)
+_EACH_DIGIT = re.compile(rf"\b{_DIGIT}\b", re.I)
 _NUMBER = re.compile(rf"(?<![0-9])[0-9]++|\b{_NAME}\b(?:[\s,-]{{1,3}}{_NAME}\b)*+", re.I)
 _DOT = re.compile(r"(?<!\s)\s++dot\s++", re.I)
 
@@ -215,30 +230,40 @@ def dotted_numbers(mapped: Mapped) -> Mapped:
     return mapped.rewritten(changes) if changes else mapped
 
 
+def _spelled_runs(text: str) -> Iterator[re.Match]:
+    for match in _SPELLED.finditer(text):
+        if sum(1 for _ in islice(_EACH.finditer(match[0]), 2)) == 2:
+            yield match
+
+
 def spelled_digits(mapped: Mapped) -> Mapped:
-    """Four or more digit names in a row to digits, a "plus" before them to its sign."""
+    """Four or more single digits in a row, two of them by name, to digits; a "plus" before them to its sign."""
     changes = []
-    for match in _SPELLED.finditer(mapped.text):
+    for match in _spelled_runs(mapped.text):
         at = match.start()
         if match[1]:
             changes.append((at, match.end(1), "+"))
             at = match.end(1)
-        for name in _EACH.finditer(mapped.text, at, match.end()):
+        for name in _EACH_DIGIT.finditer(mapped.text, at, match.end()):
             if name.start() > at:
                 changes.append((at, name.start(), ""))
-            changes.append((*name.span(), _DIGIT_OF[name[0].lower()]))
+            changes.append((*name.span(), _DIGIT_OF.get(name[0].lower(), name[0])))
             at = name.end()
     return mapped.rewritten(changes) if changes else mapped
 
 
-_AT = re.compile(r"@|(?<!\s)\s++at\s++", re.I)
-_SPELLED_DOMAIN = re.compile(
-    r"[A-Za-z0-9-]++(?:(?:\s++dot\s++|\.)[A-Za-z0-9-]++)++", re.I)
+# Each language's name of the sign "@", and the names of the dot that go with it.
+_DOTS_OF = {"@": "dot", "at": "dot|punkt", "arroba": "punto|dot", "arobase": "point|dot"}
+_AT = re.compile(r"@|(?<!\s)\s++(?:at|arroba|arobase)\s++", re.I)
+_BARE_DOT = {at: re.compile(rf"(?<!\s)\s++(?:{dots})\s++", re.I) for at, dots in _DOTS_OF.items()}
+_SPELLED_DOMAIN = {at: re.compile(
+    rf"[A-Za-z0-9-]++(?:(?:\s++(?:{dots})\s++|\.)[A-Za-z0-9-]++)++", re.I)
+    for at, dots in _DOTS_OF.items()}
 _TOP_LEVEL = re.compile(r"\.[A-Za-z]{2,}\Z")
 
 
 def at_and_dot(mapped: Mapped) -> Mapped:
-    """Bare "at" and "dot" to their signs where an address needs them.
+    """Bare "at" and "dot" (or their names in other languages) to their signs where an address needs them.
 
     A bare "at" counts between a name and a domain: one with a bare "dot", or one with plain dots
     whose last part is letters.  A bare "dot" counts in a domain behind an "at" of either form.
@@ -247,10 +272,11 @@ def at_and_dot(mapped: Mapped) -> Mapped:
     for match in _AT.finditer(text):
         if match.start() <= end or text[match.start() - 1] not in _LOCAL:
             continue
-        domain = _SPELLED_DOMAIN.match(text, match.end())
+        sign = match[0].strip().lower()
+        domain = _SPELLED_DOMAIN[sign].match(text, match.end())
         if not domain:
             continue
-        dots = [(*m.span(), ".") for m in _DOT.finditer(text, *domain.span())]
+        dots = [(*m.span(), ".") for m in _BARE_DOT[sign].finditer(text, *domain.span())]
         bare = match[0] != "@"
         if dots or bare and _TOP_LEVEL.search(domain[0]):
             changes += [(*match.span(), "@")] * bare + dots
@@ -259,7 +285,8 @@ def at_and_dot(mapped: Mapped) -> Mapped:
 
 
 _DISGUISE = re.compile(
-    r"\bdot\b|[(\[{<]\s*+(?:at|dot|punkt|point|punto|arroba)\s*+[)\]}>]"
+    r"\bdot\b|\barroba\b|\barobase\b|\bat\s++[A-Za-z0-9-]++\s++punkt\b"
+    r"|&#0*+(?:64|46);|&#x0*+(?:40|2e);|&(?:commat|period);|[(\[{<]\s*+(?:at|dot|punkt|point|punto|arroba)\s*+[)\]}>]"
     r"|\bat\s++[A-Za-z0-9-]++\.[A-Za-z0-9]"
     rf"|[0-9]\.{_NAME}\b|\b{_NAME}\.[0-9]", re.I)
 
@@ -267,16 +294,21 @@ _DISGUISE = re.compile(
 def disguised_spans(text: str, plain: list[Span]) -> list[Span]:
     """What only the rewritten text shows: spans not inside a plain one of their kind."""
     strange = not text.isascii() and _STRANGE.search(text)
-    if not (strange or _DISGUISE.search(text) or _SPELLED.search(text)):
+    if not (strange or _DISGUISE.search(text) or next(_spelled_runs(text), None)):
         return []
     mapped = Mapped.of(text)
     if strange:
         mapped = look_alikes(mapped)
-    mapped = at_and_dot(spelled_digits(dotted_numbers(bracketed_signs(mapped))))
+    mapped = bracketed_signs(character_references(mapped))
+    mapped = at_and_dot(spelled_digits(dotted_numbers(mapped)))
+    # Plain spans of a kind do not overlap: only the last one that begins no later can hold another.
+    starts = {kind: [s for k, s, _ in plain if k == kind] for kind in KINDS}
+    ends = {kind: [e for k, _, e in plain if k == kind] for kind in KINDS}
     added = []
     for kind, low, high in plain_spans(mapped.text):
         start, end = mapped.source(low, high)
-        if not any(k == kind and s <= start and end <= e for k, s, e in plain):
+        last = bisect_right(starts[kind], start) - 1
+        if last < 0 or ends[kind][last] < end:
             added.append((kind, start, end))
     return added
 

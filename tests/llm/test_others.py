@@ -85,6 +85,13 @@ def test_disguises_map_back_to_the_source(text, kind, source):
     (f"mail jane at {'sub dot ' * 12}com", "email", f"jane at {'sub dot ' * 12}com"),
     (f"mail jane at {'d' * 80} dot com", "email", f"jane at {'d' * 80} dot com"),
     (f"mail jane{' ' * 9}at{' ' * 9}site dot com", "email", f"jane{' ' * 9}at{' ' * 9}site dot com"),
+    ("call plus 4 nine one five five five 1 two three four now", "phone",
+     "plus 4 nine one five five five 1 two three four"),
+    ("correo jane arroba mail punto example punto es ya", "email", "jane arroba mail punto example punto es"),
+    ("jane arobase example point fr merci", "email", "jane arobase example point fr"),
+    ("an jane at example punkt de bitte", "email", "jane at example punkt de"),
+    ("mail jane&#64;example.com now", "email", "jane&#64;example.com"),
+    ("mail jane&commat;example&#x2E;com now", "email", "jane&commat;example&#x2E;com"),
 ])
 def test_halves_and_long_forms_of_disguises(text, kind, source):
     assert [(k, text[a:b]) for k, a, b in disguised_spans(text, plain_spans(text))] == [(kind, source)]
@@ -96,8 +103,33 @@ def test_disguises_take_linear_time():
         disguised_spans(text, [])
 
 
+def test_many_plain_spans_beside_one_disguise_take_linear_time():
+    text = "a@b.com " * 60_000 + "jane (at) site (dot) com 10.0.0.1"
+    plain = plain_spans(text)
+    found = disguised_spans(text, plain)
+    assert [text[a:b] for _, a, b in found] == ["jane (at) site (dot) com"]
+
+
+def test_added_spans_equal_those_found_by_comparing_all(spark):
+    """Disguises planted in every text of the table, beside its plain identifiers."""
+    planted = ["jane (at) site (dot) com", "joe at mail dot example dot org", "10 dot 0 dot 0 dot 1",
+               "plus 4 nine one five five five 1 two three four", "ana&#64;example.com"]
+    texts = [r[0] or "" for r in table(spark, "/root/testdata/sf0.01", "documents").select("text").collect()]
+    for k, source in enumerate(texts):
+        disguise = planted[k % len(planted)]
+        at = source.find(" ", len(source) // 2)
+        text = f"{source[:at]} | {disguise} | {source[at:]}" if at >= 0 else disguise
+        plain = plain_spans(text)
+        added = disguised_spans(text, plain)
+        assert disguise in [text[a:b] for _, a, b in added]
+        for kind, start, end in added:
+            assert not any(p == kind and s <= start and end <= e for p, s, e in plain)
+
+
 @pytest.mark.parametrize("text", [
     "meet at 10.30 or at 1.5", "one. Two dots. Three", "he is at home. Then at work.",
+    "look at this point it is", "1, 2, 3, 4 und fünf", "10.0.0.1, two", "er ist at home punkt",
+    "+49 30 1234567 one two", "&#64; &amp; &#46;",
     "he was at home and at ease dot", "one two three", "Привет, как дела", "at the dot of two", ""])
 def test_prose_has_no_disguises(text):
     assert disguised_spans(text, []) == []
@@ -351,6 +383,73 @@ def test_a_wrapped_article_beside_another_is_left_out():
     assert [(x.text, x.main) for x in lines] == [("Text", True), ("no-sidebar", False)]
 
 
+@pytest.mark.parametrize("page", [
+    "<SCRIPT>var x = 1;</SCRIPT><article><p>İstanbul text here</article>",
+    "İ<SCRIPT>var x = 1;</Script><article><p>İstanbul text here</article>",
+    "<style>İ</STYLE><article><p>İstanbul text here</article><script>\u017f</\u017fcript>"])
+def test_letters_that_grow_in_lower_case_hide_nothing(page):
+    assert [x.text for x in page_diff.page_lines(page) if x.main] == ["İstanbul text here"]
+
+
+@pytest.mark.parametrize("extra", [
+    "<section id='reader-comments'><p>first!</section>", "<div class=user-comments><p>first!</div>",
+    "<div class='article-comments x'><p>first!</div>", "<article class=teaser><p>other</article>",
+    "<article class='x teaser-small'><p>other</article>", "<article id=related-3><p>other</article>"])
+def test_comments_and_teasers_are_no_main_text(extra):
+    inside = page_diff.page_lines(f"<article><p>One</p>{extra}<p>Two</article>")
+    assert [x.text for x in inside if x.main] == ["One", "Two"]
+    beside = page_diff.page_lines(f"{extra}<article><p>One</article>{extra}")
+    assert [x.text for x in beside if x.main] == ["One"]
+
+
+def test_teasers_alone_are_the_main_text():
+    lines = page_diff.page_lines("<article class=card><p>One</article><article class=card><p>Two</article>")
+    assert [(x.text, x.main) for x in lines] == [("One", True), ("Two", True)]
+
+
+def longest_common(own, other):
+    """Length of a longest common subsequence, by the textbook table."""
+    row = [0] * (len(other) + 1)
+    for x in own:
+        diagonal = 0
+        for j, y in enumerate(other):
+            diagonal, row[j + 1] = row[j + 1], diagonal + 1 if x == y else max(row[j], row[j + 1])
+    return row[-1]
+
+
+@pytest.mark.parametrize("least", [2, 3, 5])
+def test_template_lines_by_number_of_texts(rows, least):
+    """Thousands of pages without an article, in hosts on both sides of ``template_texts``."""
+    data, wanted = [], {}
+    for host in range(600):
+        texts = 2 + host % 5
+        held_by = 2 + host % 3  # pages of the host that hold the rare line
+        for k in range(texts):
+            page = host * 10 + k
+            lines = ["Top"] + ["Rare"] * (k < held_by) + [f"Main text {host} {k}", "Foot"]
+            data.append((page, f"http://h{host}.de/a/{k}", bare_page(*lines)))
+        for k in range(texts):
+            # Paths are alike, so the neighbour is the page before, or the one behind the first.
+            partner = k - 1 if k else 1
+            rare = k < held_by and partner < held_by and min(held_by, texts) >= min(least, texts)
+            kept = ["Rare"] * (k < held_by and not rare) + [f"Main text {host} {k}"]
+            wanted[host * 10 + k] = "\n\n".join(kept)
+    pages = rows("page_id long, url string, html string", data)
+    got = {r["page_id"]: r["text"] for r in extract_main_text(pages, template_texts=least).collect()}
+    assert got == wanted
+
+
+def test_shared_lines_are_as_many_as_the_textbook_finds():
+    import random
+    draw = random.Random(5)
+    for _ in range(300):
+        own, other = ([draw.choice("abcdef") for _ in range(draw.randrange(12))] for _ in range(2))
+        found = shared_lines(own, other)
+        assert len(found) == longest_common(own, other)
+        picked = iter(other)
+        assert all(own[k] in picked for k in sorted(found))
+
+
 def bare_page(*lines):
     return "<body>" + "".join(f"<p>{line}</p>" for line in lines)
 
