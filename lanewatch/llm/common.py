@@ -54,6 +54,27 @@ def shuffles_dropped(spark: SparkSession):
         spark.conf.set(_CLEANUP, before)
 
 
+_KEY_FILTER = "spark.sql.optimizer.runtime.bloomFilter."
+
+
+@contextmanager
+def keys_filtered(spark: SparkSession):
+    """Joins inside drop rows without a partner before they are shuffled, by Spark's own Bloom filter.
+
+    The filter's size is bounded by Spark's settings; by default Spark builds it for large tables only.
+    """
+    settings = {_KEY_FILTER + "applicationSideScanSizeThreshold": "10MB",
+                _KEY_FILTER + "creationSideThreshold": "1GB"}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def written(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """The rows as a table in the shared folder: later reads never repeat the work.
 

@@ -13,10 +13,13 @@
    bound reaches what the threshold asks for are opened and compared one by one.
 4. Links become connected components.
 
-A large group is dealt to tasks as pairs of blocks of about ``block`` sets, so no task
-holds a group; of two blocks only the sets that agree in a part with one of the other
-block meet.  A task returns a spanning forest of its links, which keeps the components
-whole.
+A large group is dealt to tasks in blocks of about ``block`` sets, so no task holds a group.
+At first the sets of a block meet each other and a few pivots, sets drawn from the whole
+group, so the blocks of near copies become one cluster without meeting.  Sets of one
+cluster need not meet any more.  If a group is left with several clusters, it is dealt anew, large
+clusters to blocks of their own, and of two blocks those sets meet that agree in a part with
+one of the other block, unless both blocks are of one cluster.  A task returns a spanning
+forest of its links, which keeps the components whole.
 """
 
 from __future__ import annotations
@@ -26,12 +29,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from lanewatch.llm.common import components, text_of, written
+from lanewatch.llm.common import components, keys_filtered, text_of, written
 from lanewatch.llm.words import mixed, row_slices, shingle_sets, text_buffer
 
 TOKEN_GROUP = 8
+#: Sets of a group of several blocks that meet all its blocks at first.
+PIVOTS = 8
 #: Parts that a shingle space is cut into, for 100 that linked sets could differ in.  More of
 #: them leave more weak ones to leave out, but make each smaller.
 PARTS_PERCENT = 125
@@ -117,8 +122,10 @@ def describe_sets(sets: list[np.ndarray], percent: int) -> dict[str, pa.Array]:
     }
 
 
-def _describer(width: int, percent: int, names: tuple[str, ...]):
+def _describer(width: int, percent: int, names: tuple[str, ...], once: bool = False):
+    """With ``once``, a task gives the rows of equal sets once: copies collapse before a shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
         for batch in batches:
             texts = batch.column("_text")
             for low, high in row_slices(texts):
@@ -127,6 +134,14 @@ def _describer(width: int, percent: int, names: tuple[str, ...]):
                     "doc" if c == "_id" else c: batch.column(c).slice(low, high - low)
                     for c in batch.schema.names if c != "_text"}
                 found = describe_sets(sets, percent)
+                if once:
+                    new = []
+                    for k, key in enumerate(zip(*(found[c].to_pylist() for c in ("n", "d1", "d2")))):
+                        if key not in seen:
+                            seen.add(key)
+                            new.append(k)
+                    columns = {c: column.take(pa.array(new, pa.int64())) for c, column in columns.items()}
+                    found = {name: found[name].take(pa.array(new, pa.int64())) for name in names}
                 yield pa.RecordBatch.from_pydict(columns | {name: found[name] for name in names})
     return run
 
@@ -236,6 +251,95 @@ def _linker(width: int, percent: int):
     return run
 
 
+def _with_texts(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows`` with the text of their ``doc``; other texts are filtered out before the shuffle."""
+    # Spark builds its filter of keys only from rows that a comparison has chosen.
+    rows = rows.where("own >= 0" if "own" in rows.columns else "low <= high")
+    return texts.join(rows, texts["_id"] == rows["doc"])
+
+
+def _linked(texts: DataFrame, met: DataFrame, key: list[str], width: int, percent: int) -> DataFrame:
+    """Links of the sets that meet: rows of one component and ``key``."""
+    met = written(met, "jaccard-met")
+    with keys_filtered(texts.sparkSession):
+        return written(
+            _with_texts(texts, met).select("doc", "_text", "component", *key)
+            .groupBy("component", *key).applyInPandas(_linker(width, percent), "a long, b long"),
+            "jaccard-found")
+
+
+def _pivots(members: DataFrame) -> DataFrame:
+    """``(doc, component, own)``: sets drawn from each group of several blocks, for all its blocks.
+
+    A pivot that links with a set of each of two blocks joins what is linked inside these, so blocks
+    of near copies need not meet.
+    """
+    drawn = F.array_distinct(F.array(*(
+        F.min_by("doc", F.xxhash64("doc", F.lit(k))) for k in range(PIVOTS))))
+    return (
+        members.where("blocks > 1").groupBy("component")
+        .agg(F.max("blocks").alias("blocks"), drawn.alias("drawn"))
+        .select("component", "blocks", F.explode("drawn").alias("doc"))
+        .select("doc", "component", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("own")))
+
+
+def _apart(members: DataFrame, clusters: DataFrame, block: int) -> DataFrame:
+    """``(doc, component, tag, own)``: new blocks for groups whose blocks are not one cluster yet.
+
+    A cluster of ``block`` sets or more has blocks of its own, tagged by its id; sets of smaller
+    ones share blocks without a tag.
+    """
+    sets = written(
+        members.where("blocks > 1").select("doc", "component")
+        .join(clusters.select(F.col("node").alias("doc"), F.col("component").alias("cluster")), "doc", "left")
+        .withColumn("cluster", F.coalesce("cluster", "doc")), "jaccard-clustered")
+    sizes = written(
+        sets.groupBy("component", "cluster").agg(F.count("*").alias("size"))
+        .withColumn("tag", F.when(F.col("size") >= block, F.col("cluster"))), "jaccard-cluster-sizes")
+    several = sizes.groupBy("component").agg(F.count("*").alias("n")).where("n > 1")
+    tags = sizes.groupBy("component", "tag").agg(
+        F.ceil(F.sum("size") / F.lit(block)).cast("int").alias("blocks"))
+    # A tag is the cluster itself, so null tags are told by the cluster's size.
+    own = sizes.join(several, "component", "left_semi").alias("s").join(
+        tags.alias("t"), (F.col("s.component") == F.col("t.component"))
+        & F.col("s.tag").eqNullSafe(F.col("t.tag"))).select(
+        "s.component", "s.cluster", "s.tag", "t.blocks")
+    return written(
+        sets.join(own, ["component", "cluster"])
+        .withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+        .select("doc", "component", "tag", "own"), "jaccard-apart")
+
+
+def _visits(texts: DataFrame, apart: DataFrame, width: int, percent: int) -> DataFrame:
+    """``(doc, component, low, high)``: pairs of blocks at which a set must be present.
+
+    Sets meet in their own block unless it holds one cluster, and a set visits each block
+    that holds a set of another cluster, or without a tag, which shares a signature with it.
+    """
+    with keys_filtered(texts.sparkSession):
+        parts = written(_with_texts(texts, apart).select("_id", "_text", "tag", "own").mapInArrow(
+            _describer(width, percent, ("sigs",)), "doc long, tag long, own int, sigs array<long>"),
+            "jaccard-parts")
+    parts = parts.select("doc", "tag", "own", F.explode("sigs").alias("sig"))
+    # Blocks that hold a part are bits, so a part costs a row per 64 blocks and not one for each.
+    hosts = parts.groupBy("sig", F.col("tag").alias("at"), F.expr("own div 64").alias("bits_of")).agg(
+        F.bit_or(F.expr("shiftleft(1L, own % 64)")).alias("bits"))
+    shared = parts.join(hosts, "sig").where("at is null or not (at <=> tag)").groupBy(
+        "doc", "at", "bits_of").agg(F.bit_or("bits").alias("bits"))
+    set_bits = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda k: F.getbit("bits", k) == 1)
+
+    def name(tag: str, number: Column) -> Column:
+        return F.concat_ws(":", F.coalesce(F.col(tag).cast("string"), F.lit("")), number.cast("string"))
+
+    there = shared.select("doc", "at", "bits_of", F.explode(set_bits).alias("bit")).select(
+        "doc", name("at", F.col("bits_of") * 64 + F.col("bit")).alias("other"))
+    here = apart.select("doc", "component", "tag", name("tag", F.col("own")).alias("here"))
+    both = here.join(there, "doc").where("here <> other").unionByName(
+        here.where("tag is null").withColumn("other", F.col("here")))
+    return both.select(
+        "doc", "component", F.least("here", "other").alias("low"), F.greatest("here", "other").alias("high"))
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 width: int = 5, percent: int = 80, block: int = 96) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for each row of ``docs``.
@@ -251,51 +355,37 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     described = written(texts.mapInArrow(
         _describer(width, percent, ("n", "d1", "d2")), "doc long, n long, d1 long, d2 long"),
         "shingle-sets")
+    some = described.where("n > 0 and doc is not null")
     sets = written(
-        described.where("n > 0 and doc is not null").groupBy("d1", "d2", "n")
-        .agg(F.min("doc").alias("rep")), "distinct-sets")
+        some.groupBy("d1", "d2", "n").agg(F.min("doc").alias("rep")), "distinct-sets")
+    copies = some.join(sets, ["d1", "d2", "n"]).where("doc <> rep").select(
+        F.col("doc").alias("a"), F.col("rep").alias("b"))
     # Signatures outweigh the texts, so they are made where they are needed and not stored.
-    signatures = texts.join(sets, F.col("_id") == F.col("rep"), "left_semi").mapInArrow(
-        _describer(width, percent, ("sigs",)), "doc long, sigs array<long>")
+    signatures = texts.where("_id is not null").mapInArrow(
+        _describer(width, percent, ("sigs",), once=True), "doc long, sigs array<long>")
     agreeing = (
         signatures.select("doc", F.explode("sigs").alias("sig"))
         .repartition("sig").sortWithinPartitions("sig", "doc")
         .mapInArrow(_first_of_runs, "a long, b long"))
-    groups = components(agreeing, "jaccard-groups")
-    groups = written(groups.distinct(), "jaccard-members")
+    groups = components(agreeing.unionByName(copies), "jaccard-groups").distinct()
+    groups = written(groups.join(
+        sets.select(F.col("rep").alias("node")).distinct(), "node", "left_semi"), "jaccard-members")
     sizes = written(
         groups.groupBy("component").agg(F.count("*").alias("size")), "jaccard-sizes")
     members = (
-        groups.join(sizes, "component")
+        groups.join(sizes, "component").where("size > 1")
         .withColumn("blocks", F.ceil(F.col("size") / F.lit(block)).cast("int"))
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .select(F.col("node").alias("doc"), "component", "blocks", "own"))
     members = written(members, "jaccard-blocks")
-    # In a group of several blocks a set meets its own block, and it visits another block if
-    # it shares a signature with a set of that block.
-    split = texts.join(members.where("blocks > 1").select(
-        F.col("doc").alias("_id"), "own"), "_id").select("_id", "_text", "own")
-    parts = split.mapInArrow(
-        _describer(width, percent, ("sigs",)), "doc long, own int, sigs array<long>").select(
-        "doc", "own", F.explode("sigs").alias("sig"))
-    # Blocks that hold a part are bits, so a part costs a row per 64 blocks and not one for each.
-    hosts = parts.groupBy("sig", F.expr("own div 64").alias("bits_of")).agg(
-        F.bit_or(F.expr("shiftleft(1L, own % 64)")).alias("bits"))
-    shared = parts.select("doc", "sig").join(hosts, "sig").groupBy("doc", "bits_of").agg(
-        F.bit_or("bits").alias("bits"))
-    set_bits = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda k: F.getbit("bits", k) == 1)
-    visits = shared.select("doc", "bits_of", F.explode(set_bits).alias("bit")).select(
-        "doc", (F.col("bits_of") * 64 + F.col("bit")).cast("int").alias("other"))
-    own = members.select("doc", "component", "own")
-    places = written(
-        own.withColumn("other", F.col("own")).unionByName(
-            own.join(visits, "doc").where("own <> other")), "jaccard-visits")
-    held = texts.join(places, texts["_id"] == places["doc"])
-    met = held.select("doc", "_text", "component", "own", "other")
-    links = (
-        met.groupBy("component", F.least("own", "other").alias("low"),
-                    F.greatest("own", "other").alias("high"))
-        .applyInPandas(_linker(width, percent), "a long, b long"))
+    met = members.select("doc", "component", "own").unionByName(_pivots(members)).distinct()
+    links = _linked(texts, met, ["own"], width, percent)
+    clusters = written(components(links, "jaccard-clusters").distinct(), "jaccard-clusters")
+    links = clusters.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    apart = _apart(members, clusters, block)
+    if not apart.isEmpty():
+        links = links.unionByName(
+            _linked(texts, _visits(texts, apart, width, percent), ["low", "high"], width, percent))
     joined = written(components(links, "jaccard-links").distinct(), "jaccard-components")
     where = written(
         sets.join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left")
