@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import json
+import string
+from array import array
+
 import numpy as np
 
 #: Words a worker remembers; beyond that it starts anew.
 CACHED_WORDS = 600_000
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in byte-level vocabularies: bytes that print
+    stand for themselves, the others for the letters from U+0100 on, in order."""
+    prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [byte for byte in range(256) if byte not in prints]
+    return {byte: 0x100 + n for n, byte in enumerate(hidden)}
+
+
+_SHOWN = _byte_letters()
+
+
 def _pieces(text: str) -> list[str]:
     return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
@@ -15,9 +30,9 @@ def _pieces(text: str) -> list[str]:
 class WordTokenizer:
     """Encodes texts as the file's tokenizer does, white-space piece by piece.
 
-    Only for a byte-level tokenizer that lowers case, drops white space and never joins
-    across it nor from letters to marks, so that a text's ids are those of its pieces one
-    after the other.
+    Only for a byte-level tokenizer that composes characters, lowers case, drops white
+    space and never joins across it nor from letters to marks, so that a text's ids are
+    those of its pieces one after the other.  A file whose steps are others is refused.
     """
 
     def __init__(self, path: str):
@@ -25,14 +40,21 @@ class WordTokenizer:
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
+        steps = json.loads(self.whole.to_str())
+        kinds = [s["type"] for s in (steps["normalizer"] or {}).get("normalizers", [])]
+        cuts = [s["type"] for s in (steps["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        if kinds != ["NFC", "Replace", "Lowercase"] or cuts != ["Split", "ByteLevel"]:
+            raise ValueError(f"{path} prepares texts by {kinds} and {cuts}, which is not known here")
         self.words: dict[str, bytes] = {"": b""}
+        self.letters: dict[str, bytes] = {}
 
     def _letters(self, word: str) -> bytes:
-        """The ids of a word of the letters a to z."""
-        known = self.words.get(word)
+        """The ids of a lower-case word of letters below U+0300, asked of the model alone."""
+        known = self.letters.get(word)
         if known is None:
-            ids = [token.id for token in self.model.tokenize(word)]
-            known = self.words[word] = np.array(ids, np.uint16).tobytes()
+            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(_SHOWN)
+            ids = array("H", [token.id for token in self.model.tokenize(spelled)])
+            known = self.letters[word] = ids.tobytes()
         return known
 
     def _several(self, pieces: list[str]) -> list[bytes]:
@@ -45,22 +67,25 @@ class WordTokenizer:
 
     def _learn(self, pieces: set[str]) -> None:
         if len(self.words) + len(pieces) > CACHED_WORDS:
-            self.words = {"": b""}
+            self.words, self.letters = {"": b""}, {}
         others = []
         for piece in pieces:
-            word, mark = (piece[:-1], piece[-1]) if piece[-1] in ".," else (piece, "")
-            if word.isascii() and word.isalpha():
+            word = piece.rstrip(string.punctuation)
+            # Below U+0300 nothing is composed, and only one letter grows in lower case.
+            if word.isalpha() and (word.isascii() or max(word) < "\u0300" and "\u0130" not in word):
+                marks = piece[len(word):]
                 ids = self._letters(word.lower())
-                self.words[piece] = ids + self._mark(mark) if mark else ids
+                self.words[piece] = ids + self._marks(marks) if marks else ids
             else:
                 others.append(piece)
         for piece, ids in zip(others, self._several(others) if others else []):
             self.words[piece] = ids
 
-    def _mark(self, mark: str) -> bytes:
-        if mark not in self.words:
-            self.words[mark] = self._several([mark])[0]
-        return self.words[mark]
+    def _marks(self, marks: str) -> bytes:
+        """The ids of a run of punctuation marks."""
+        if marks not in self.words:
+            self.words[marks] = self._several([marks])[0]
+        return self.words[marks]
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian 16-bit numbers."""

@@ -333,6 +333,26 @@ def test_packing_round_trip(spark, rows):
     assert sum(powers_of_two(4095)) == 4095
 
 
+def test_words_learned_alone_equal_the_whole_tokenizer(tmp_path):
+    """Letters and marks asked of the model apart, for every character below U+0300."""
+    from tokenizers import Tokenizer
+
+    path, random = llm.vocabulary_path(), np.random.default_rng(4)
+    whole, words = Tokenizer.from_file(path), tokenizer(path)
+    texts = [f.format(chr(c)) for c in range(33, 0x300) for f in (
+        "{0}{0}'s..", "ab{0}_", "{0}##'", "A{0}", "{0}B,,")]
+    some = [*map(chr, range(32, 0x180)), *"\u0300\u0301\u0307\u0130\u03a3\u1e9e\ufb01\u1100\u1161\u2126\x85\xa0\n\t'"]
+    texts += ["".join(random.choice(some, random.integers(0, 12))) for _ in range(5000)]
+    for text in texts:
+        assert np.frombuffer(words.encode(text), np.uint16).tolist() == (
+            whole.encode(text, add_special_tokens=False).ids), repr(text)
+    other = json.loads(whole.to_str())
+    other["normalizer"] = None
+    (tmp_path / "other.json").write_text(json.dumps(other))
+    with pytest.raises(ValueError, match="prepares texts"):
+        tokenizer(str(tmp_path / "other.json"))
+
+
 def test_packing_query(spark):
     texts = {r["doc_id"]: r["text"] for r in table(spark, SF, "documents").collect()}
     packs_whole(llm.op8_hilbert_packing(spark, SF).collect(), texts, llm.vocabulary_path(), 4096)
