@@ -57,7 +57,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: A trained classifier and tokens cannot be stated in SQL; no test runs the stages together yet.
+#: A trained classifier and tokens cannot be stated in SQL; tests compare each stage with a plain version.
 ORACLE_SQL = None
 
 

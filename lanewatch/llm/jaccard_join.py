@@ -17,8 +17,8 @@ A large group is dealt to tasks in blocks of about ``block`` sets, so no task ho
 At first the sets of a block meet each other and a few pivots, sets drawn from the whole
 group, so the blocks of near copies become one cluster without meeting.  Sets of one
 cluster need not meet any more.  If a group is left with several clusters, it is dealt anew, large
-clusters to blocks of their own, and of two blocks those sets meet that agree in a part with
-one of the other block, unless both blocks are of one cluster.  A task returns a spanning
+clusters to blocks of their own, and of two blocks those sets meet that share one of their rarest
+shingles with one of the other block, unless both blocks are of one cluster.  A task returns a spanning
 forest of its links, which keeps the components whole.
 """
 
@@ -310,21 +310,60 @@ def _apart(members: DataFrame, clusters: DataFrame, block: int) -> DataFrame:
         .select("doc", "component", "tag", "own"), "jaccard-apart")
 
 
+def _shingler(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high in row_slices(batch.column("_text")):
+                part = batch.slice(low, high - low)
+                sets = shingle_sets(*text_buffer(part.column("_text")), width)
+                ends = np.cumsum([0] + [len(s) for s in sets])
+                values = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("_id"), *map(part.column, ("component", "tag", "own")),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))],
+                    ["doc", "component", "tag", "own", "shingles"])
+    return run
+
+
+def _rare_shingles(texts: DataFrame, apart: DataFrame, width: int, percent: int) -> DataFrame:
+    """``(doc, component, tag, own, sig)``: the rarest shingles of each set that other sets hold too.
+
+    Of n shingles, linked sets have at least ``percent`` in a hundred in common, so in any order
+    that all sets of a component follow they share one of their first n - ceil(n * percent / 100) + 1.
+    Rare ones come first, so that a passage which many sets hold brings only such sets
+    together as consist of little else.
+    """
+    with keys_filtered(texts.sparkSession):
+        held = written(_with_texts(texts, apart).select("_id", "_text", "component", "tag", "own").mapInArrow(
+            _shingler(width), "doc long, component long, tag long, own int, shingles array<long>"),
+            "jaccard-shingles")
+    # Rows that repeat an id with another text are sets of their own.
+    each = held.withColumn("key", F.xxhash64("shingles")).select(
+        "doc", "key", "component", "tag", "own", F.explode("shingles").alias("sig"))
+    often = written(
+        each.groupBy("component", "sig").agg(F.count("*").alias("times")).where("times > 1"), "jaccard-uses")
+    ordered = each.join(often, ["component", "sig"], "left").groupBy(
+        "doc", "key", "component", "tag", "own").agg(F.sort_array(F.collect_list(
+            F.struct(F.coalesce("times", F.lit(1).cast("long")).alias("times"), "sig"))).alias("all"))
+    size = F.size("all")
+    first = F.slice("all", F.lit(1), (size - F.ceil(size * percent / 100) + 1).cast("int"))
+    return ordered.select("doc", "component", "tag", "own", F.explode(
+        F.filter(first, lambda s: s["times"] > 1)).alias("s")).select(
+        "doc", "component", "tag", "own", F.col("s.sig").alias("sig"))
+
+
 def _visits(texts: DataFrame, apart: DataFrame, width: int, percent: int) -> DataFrame:
     """``(doc, component, low, high)``: pairs of blocks at which a set must be present.
 
     Sets meet in their own block unless it holds one cluster, and a set visits each block
-    that holds a set of another cluster, or without a tag, which shares a signature with it.
+    that holds a set of another cluster, or without a tag, which shares one of the rarest
+    shingles of both.
     """
-    with keys_filtered(texts.sparkSession):
-        parts = written(_with_texts(texts, apart).select("_id", "_text", "tag", "own").mapInArrow(
-            _describer(width, percent, ("sigs",)), "doc long, tag long, own int, sigs array<long>"),
-            "jaccard-parts")
-    parts = parts.select("doc", "tag", "own", F.explode("sigs").alias("sig"))
-    # Blocks that hold a part are bits, so a part costs a row per 64 blocks and not one for each.
-    hosts = parts.groupBy("sig", F.col("tag").alias("at"), F.expr("own div 64").alias("bits_of")).agg(
+    parts = written(_rare_shingles(texts, apart, width, percent), "jaccard-rare")
+    # Blocks that hold a shingle are bits, so one costs a row per 64 blocks and not one for each.
+    hosts = parts.groupBy("component", "sig", F.col("tag").alias("at"), F.expr("own div 64").alias("bits_of")).agg(
         F.bit_or(F.expr("shiftleft(1L, own % 64)")).alias("bits"))
-    shared = parts.join(hosts, "sig").where("at is null or not (at <=> tag)").groupBy(
+    shared = parts.join(hosts, ["component", "sig"]).where("at is null or not (at <=> tag)").groupBy(
         "doc", "at", "bits_of").agg(F.bit_or("bits").alias("bits"))
     set_bits = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda k: F.getbit("bits", k) == 1)
 
