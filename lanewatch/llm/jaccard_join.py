@@ -338,17 +338,17 @@ def _rare_shingles(texts: DataFrame, apart: DataFrame, width: int, percent: int)
             _shingler(width), "doc long, component long, tag long, own int, shingles array<long>"),
             "jaccard-shingles")
     # Rows that repeat an id with another text are sets of their own.
-    each = held.withColumn("key", F.xxhash64("shingles")).select(
-        "doc", "key", "component", "tag", "own", F.explode("shingles").alias("sig"))
+    each = held.withColumn("key", F.xxhash64("shingles")).withColumn("n", F.size("shingles")).select(
+        "doc", "key", "n", "component", "tag", "own", F.explode("shingles").alias("sig"))
     often = written(
         each.groupBy("component", "sig").agg(F.count("*").alias("times")).where("times > 1"), "jaccard-uses")
-    ordered = each.join(often, ["component", "sig"], "left").groupBy(
-        "doc", "key", "component", "tag", "own").agg(F.sort_array(F.collect_list(
-            F.struct(F.coalesce("times", F.lit(1).cast("long")).alias("times"), "sig"))).alias("all"))
-    size = F.size("all")
-    first = F.slice("all", F.lit(1), (size - F.ceil(size * percent / 100) + 1).cast("int"))
-    return ordered.select("doc", "component", "tag", "own", F.explode(
-        F.filter(first, lambda s: s["times"] > 1)).alias("s")).select(
+    # Shingles of one set only come first of all, so of the others these are left to look at.
+    left = F.size("all") - F.ceil(F.col("n") * percent / 100) + 1
+    ordered = each.join(often, ["component", "sig"]).groupBy(
+        "doc", "key", "n", "component", "tag", "own").agg(
+        F.sort_array(F.collect_list(F.struct("times", "sig"))).alias("all")).where(left > 0)
+    return ordered.select(
+        "doc", "component", "tag", "own", F.explode(F.slice("all", F.lit(1), left.cast("int"))).alias("s")).select(
         "doc", "component", "tag", "own", F.col("s.sig").alias("sig"))
 
 
