@@ -108,3 +108,16 @@ def test_ring(spark):
     assert ring[0][0] == pytest.approx(lon) and ring[0][1] > lat
     for lo, la in ring:
         assert metres((lat, lon), (la, lo)) == pytest.approx(200.0, abs=1e-6)
+
+
+@pytest.mark.parametrize("how", [{"salts": 4}, {"large": True}])
+def test_a_growing_dimension_is_never_broadcast(spark, tmp_path, how):
+    """Its copies per cell and salt are not in Spark's estimate, so the driver would hold them."""
+    spark.range(2000).selectExpr(
+        "id", "43.3 + id * 0.0001 location_lat", "21.85 + id * 0.0001 location_lon").write.parquet(str(tmp_path / "p"))
+    places = spark.read.parquet(str(tmp_path / "p"))
+    events = spark.range(2000).selectExpr(
+        "id event_id", "43.3 + id * 0.0001 vehicle_lat", "21.85 + id * 0.0001 vehicle_lon")
+    joined = radius_join(events, places, **how)
+    assert joined.count() == radius_join(events, places).count() > 2000
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
