@@ -278,7 +278,9 @@ def read_block_ranges(ranges: DataFrame, tasks: int) -> DataFrame:
         in_file.rowsBetween(Window.unboundedPreceding, 0)))
     since = Window.partitionBy("path", "section").orderBy("split").rowsBetween(
         Window.unboundedPreceding, 0)
-    left = sections.withColumn("left", F.collect_list("state").over(since))
+    # Only states that name interfaces: a list of all would grow with the square of a file's ranges.
+    naming = F.when(F.get_json_object("state", "$[1][0]").isNotNull(), F.col("state"))
+    left = sections.withColumn("left", F.collect_list(naming).over(since))
     checked = compared(left).withColumns({
         "before": F.coalesce(F.sum("packets").over(before), F.lit(0).cast("long")),
         "interfaces": F.coalesce(

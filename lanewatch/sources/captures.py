@@ -184,7 +184,7 @@ def read_captures(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES
     each with interfaces of their own link type and time resolution), or ``any``, which looks
     at the first bytes of every file.  In the block format, simple packet blocks have no time,
     and a packet of an interface that is not described has link type -1.  One short job counts
-    the ranges, so that each can be a task of its own.
+    the ranges and their bytes: a task reads one range of :data:`SPLIT_BYTES`, or as much in small ones.
     """
     if form not in ("classic", "block", "any"):
         raise ValueError(f"unknown capture form {form!r}")
@@ -206,8 +206,10 @@ def _read_ranges(files: DataFrame, split_bytes: int, blocks: bool) -> DataFrame:
         "start": F.col("split") * split_bytes,
         "stop": F.least(F.col("length"), (F.col("split") + 1) * split_bytes),
     })
-    count = ranges.count()
-    tasks = max(1, min(count, 100_000))
+    count, size = ranges.agg(F.count("*"), F.sum(F.col("stop") - F.col("start"))).first()
+    # Small ranges share tasks: an exchange holds a block for each two of its tasks.
+    spread = max(files.sparkSession.sparkContext.defaultParallelism * 4, -(-(size or 0) // SPLIT_BYTES))
+    tasks = max(1, min(count, spread, 100_000))
     if blocks:
         return read_block_ranges(ranges, tasks)
     probe, mend, read = _range_tasks()

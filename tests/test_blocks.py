@@ -96,3 +96,18 @@ def test_forms_of_a_folder(spark, tmp_path):
         read_back(spark, tmp_path, 1 << 20, "block")
     with pytest.raises(ValueError, match="unknown capture form"):
         read_captures(spark, str(tmp_path), form="new")
+
+
+@pytest.mark.parametrize("form", ["block", "classic"])
+def test_small_ranges_share_tasks(spark, tmp_path, form):
+    """A task per range made exchanges of as many blocks as the square of the ranges."""
+    frames = [bytes([k % 251]) * 40 for k in range(300)]
+    if form == "block":
+        data = section("<") + interface("<") + b"".join(packet("<", f, 0) for f in frames)
+    else:
+        data = struct.pack("<IHHIIII", 0xA1B2C3D4, 2, 4, 0, 0, 0, 1) + b"".join(
+            struct.pack("<IIII", 0, 0, len(f), len(f)) + f for f in frames)
+    (tmp_path / "a-b.pcap").write_bytes(data)
+    found = read_captures(spark, str(tmp_path), 80, form)
+    assert found.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism < len(data) // 80
+    assert [bytes(r["frame"]) for r in found.orderBy("packet_no").collect()] == frames
