@@ -36,10 +36,15 @@ def cells(ids: np.ndarray, offsets: np.ndarray, signs: np.ndarray, bits: int) ->
     A coordinate of a vector of length one has mean 0 and standard deviation 1 over
     random signs, whatever the document's length; four deviations span the grid.
     """
-    points = np.zeros((len(offsets) - 1, signs.shape[1]))
-    for row, (low, high) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
-        found, times = np.unique(ids[low:high], return_counts=True)
-        points[row] = times @ signs[found] / max(1.0, float(np.sqrt((times * times).sum())))
+    n = len(offsets) - 1
+    # Ids lie below 65,536, so a document's number stands before each and equal ones follow each other.
+    numbered = np.sort(np.repeat(np.arange(n, dtype=np.uint64) << np.uint64(16), np.diff(offsets)) | ids)
+    first = np.flatnonzero(np.append(True, numbered[1:] != numbered[:-1])[:len(numbered)])
+    times = np.diff(np.append(first, len(numbered)))
+    found, owner = numbered[first], (numbered[first] >> np.uint64(16)).astype(np.int64)
+    weighed = signs[(found & np.uint64(0xFFFF)).astype(np.int64)]
+    points = np.stack([np.bincount(owner, times * axis, n) for axis in weighed.T], 1)
+    points /= np.sqrt(np.maximum(1, np.bincount(owner, times * times, n)))[:, None]
     side = 1 << bits
     return np.clip(np.floor((points + 4) / 8 * side), 0, side - 1).astype(np.int64)
 

@@ -45,17 +45,15 @@ class WordTokenizer:
         cuts = [s["type"] for s in (steps["pre_tokenizer"] or {}).get("pretokenizers", [])]
         if kinds != ["NFC", "Replace", "Lowercase"] or cuts != ["Split", "ByteLevel"]:
             raise ValueError(f"{path} prepares texts by {kinds} and {cuts}, which is not known here")
+        self.added = [token["content"].lower() for token in steps["added_tokens"]]
         self.words: dict[str, bytes] = {"": b""}
         self.letters: dict[str, bytes] = {}
 
     def _letters(self, word: str) -> bytes:
         """The ids of a lower-case word of letters below U+0300, asked of the model alone."""
-        known = self.letters.get(word)
-        if known is None:
-            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(_SHOWN)
-            ids = array("H", [token.id for token in self.model.tokenize(spelled)])
-            known = self.letters[word] = ids.tobytes()
-        return known
+        spelled = word if word.isascii() else word.encode().decode("latin-1").translate(_SHOWN)
+        ids = self.letters[word] = array("H", [token.id for token in self.model.tokenize(spelled)]).tobytes()
+        return ids
 
     def _several(self, pieces: list[str]) -> list[bytes]:
         """The ids of any pieces, asked for in one call and told apart by their places."""
@@ -65,21 +63,21 @@ class WordTokenizer:
         cuts = np.searchsorted(starts, np.cumsum([len(p) + 1 for p in pieces])).tolist()
         return [ids[low:high].tobytes() for low, high in zip([0, *cuts], cuts)]
 
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self.words) + len(pieces) > CACHED_WORDS:
-            self.words, self.letters = {"": b""}, {}
-        others = []
+    def _learn(self, pieces: set[str], plain: bool) -> None:
+        """Remember pieces; ``plain`` ones are of lower-case characters below U+0100."""
+        others, words, known = [], self.words, self.letters.get
         for piece in pieces:
             word = piece.rstrip(string.punctuation)
             # Below U+0300 nothing is composed, and only one letter grows in lower case.
-            if word.isalpha() and (word.isascii() or max(word) < "\u0300" and "\u0130" not in word):
-                marks = piece[len(word):]
-                ids = self._letters(word.lower())
-                self.words[piece] = ids + self._marks(marks) if marks else ids
+            if word.isalpha() and (
+                    plain or word.isascii() or max(word) < "\u0300" and "\u0130" not in word):
+                lower = word if plain else word.lower()
+                ids = known(lower) or self._letters(lower)
+                words[piece] = ids if len(word) == len(piece) else ids + self._marks(piece[len(word):])
             else:
                 others.append(piece)
         for piece, ids in zip(others, self._several(others) if others else []):
-            self.words[piece] = ids
+            words[piece] = ids
 
     def _marks(self, marks: str) -> bytes:
         """The ids of a run of punctuation marks."""
@@ -87,17 +85,26 @@ class WordTokenizer:
             self.words[marks] = self._several([marks])[0]
         return self.words[marks]
 
+    def _plain(self, text: str) -> str | None:
+        """The text in lower case if each letter stays one; a word is then remembered in one spelling."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return None
+        lower = text.lower()
+        # Tokens that the file adds are found as they are written.
+        return None if any(token in lower for token in self.added) else lower
+
     def encode(self, text: str) -> bytes:
         """The ids as little-endian 16-bit numbers."""
-        pieces = _pieces(text)
-        found = list(map(self.words.get, pieces))
-        if None in found:
-            self._learn({p for p, f in zip(pieces, found) if f is None})
-            found = list(map(self.words.get, pieces))
-            if None in found:  # the cache was begun anew in between
-                self._learn({p for p, f in zip(pieces, found) if f is None} | {*pieces} - {""})
-                found = [self.words[p] for p in pieces]
-        return b"".join(found)
+        lower = self._plain(text)
+        pieces = _pieces(text if lower is None else lower)
+        new = set(pieces).difference(self.words)
+        if new:
+            if len(self.words) + len(new) > CACHED_WORDS:
+                self.words, self.letters, new = {"": b""}, {}, {*pieces} - {""}
+            self._learn(new, lower is not None)
+        return b"".join(map(self.words.__getitem__, pieces))
 
 
 _LOADED: dict[str, WordTokenizer] = {}

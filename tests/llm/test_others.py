@@ -353,6 +353,18 @@ def test_words_learned_alone_equal_the_whole_tokenizer(tmp_path):
         tokenizer(str(tmp_path / "other.json"))
 
 
+def test_words_are_remembered_in_one_spelling():
+    from lanewatch.llm.tokens import WordTokenizer
+
+    words = WordTokenizer(llm.vocabulary_path())
+    texts = ["Un Été, UN été, un ÉTÉ,", "<|ENDOFTEXT|> Une", "<|EndOfText|>", "a<|endoftext|> B \u03a3\u0391\u03a3 A",
+             "\u0130x \u00b5M \u00df\u00df,", "It'S 4.0 DON'T"]
+    for text in texts:
+        assert np.frombuffer(words.encode(text), np.uint16).tolist() == (
+            words.whole.encode(text, add_special_tokens=False).ids), repr(text)
+    assert {"un", "\u00e9t\u00e9,"} <= set(words.words) and not {"Un", "UN", "\u00c9t\u00e9,"} & set(words.words)
+
+
 def test_packing_query(spark):
     texts = {r["doc_id"]: r["text"] for r in table(spark, SF, "documents").collect()}
     packs_whole(llm.op8_hilbert_packing(spark, SF).collect(), texts, llm.vocabulary_path(), 4096)
