@@ -338,11 +338,19 @@ def _rare_shingles(texts: DataFrame, apart: DataFrame, width: int, percent: int)
             _shingler(width), "doc long, component long, tag long, own int, shingles array<long>"),
             "jaccard-shingles")
     # Rows that repeat an id with another text are sets of their own.
-    each = held.withColumn("key", F.xxhash64("shingles")).withColumn("n", F.size("shingles")).select(
-        "doc", "key", "n", "component", "tag", "own", F.explode("shingles").alias("sig"))
-    often = written(
-        each.groupBy("component", "sig").agg(F.count("*").alias("times")).where("times > 1"), "jaccard-uses")
-    # Shingles of one set only come first of all, so of the others these are left to look at.
+    held = held.withColumn("key", F.xxhash64("shingles")).withColumn("n", F.size("shingles"))
+    uses = written(
+        held.select("doc", "key", "component", F.explode("shingles").alias("sig")).groupBy("component", "sig").agg(
+            F.count("*").alias("times"), F.min("doc").alias("doc"), F.min("key").alias("key")), "jaccard-uses")
+    often = uses.where("times > 1").select("component", "sig", "times")
+    # Shingles of one set only come first of all, so of the others these are left to look at.  A set
+    # with none left links with nothing, which is known before any shingle is joined with its count.
+    alone = uses.where("times = 1").groupBy("doc", "key").agg(F.count("*").alias("alone"))
+    able = written(
+        held.join(alone, ["doc", "key"], "left")
+        .where(F.col("n") - F.coalesce("alone", F.lit(0)) >= F.ceil(F.col("n") * percent / 100)),
+        "jaccard-able")
+    each = able.select("doc", "key", "n", "component", "tag", "own", F.explode("shingles").alias("sig"))
     left = F.size("all") - F.ceil(F.col("n") * percent / 100) + 1
     ordered = each.join(often, ["component", "sig"]).groupBy(
         "doc", "key", "n", "component", "tag", "own").agg(

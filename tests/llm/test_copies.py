@@ -167,3 +167,24 @@ def test_repeats_on_odd_rows(odd):
     assert sorted(map(tuple, got.collect()), key=str) == brute_repeats(pairs(some))
     every = {(r["doc_id"], r["n_bytes"]): r["n_removed"] for r in remove_repeats(odd).collect()}
     assert every[(9, 150_003)] == 150_000 and every[(8, 150_000)] == 150_000 - 5
+
+
+def test_shingles_of_sets_that_link_with_nothing_are_not_joined(spark, monkeypatch):
+    """A passage that many sets hold brought all its copies to the join with the counts."""
+    from lanewatch.llm import jaccard_join
+
+    passage = " ".join(f"p{k}" for k in range(60))
+    texts = [(i, passage + "".join(f" own{i}x{k}" for k in range(40))) for i in range(50)]
+    texts += [(50 + i, passage + f" {i} tail") for i in range(6)]
+    held = spark.createDataFrame(texts, "_id long, _text string")
+    apart = held.selectExpr("_id doc", "1L component", "cast(null as bigint) tag", "cast(_id % 3 as int) own")
+    kept = {}
+
+    def written(df, label, *more):
+        kept[label] = df
+        return df
+
+    monkeypatch.setattr(jaccard_join, "written", written)
+    rare = jaccard_join._rare_shingles(held, apart, 3, 80)
+    assert {r["doc"] for r in kept["jaccard-able"].collect()} == set(range(50, 56))
+    assert {r["doc"] for r in rare.collect()} == set(range(50, 56))
