@@ -284,13 +284,13 @@ def _pivots(members: DataFrame) -> DataFrame:
 
 
 def _apart(members: DataFrame, clusters: DataFrame, block: int) -> DataFrame:
-    """``(doc, component, tag, own)``: new blocks for groups whose blocks are not one cluster yet.
+    """``(doc, component, blocks, tag, own)``: new blocks for groups whose blocks are not one cluster yet.
 
     A cluster of ``block`` sets or more has blocks of its own, tagged by its id; sets of smaller
     ones share blocks without a tag.
     """
     sets = written(
-        members.where("blocks > 1").select("doc", "component")
+        members.where("blocks > 1").select("doc", "component", F.col("blocks").alias("all_blocks"))
         .join(clusters.select(F.col("node").alias("doc"), F.col("component").alias("cluster")), "doc", "left")
         .withColumn("cluster", F.coalesce("cluster", "doc")), "jaccard-clustered")
     sizes = written(
@@ -307,7 +307,7 @@ def _apart(members: DataFrame, clusters: DataFrame, block: int) -> DataFrame:
     return written(
         sets.join(own, ["component", "cluster"])
         .withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-        .select("doc", "component", "tag", "own"), "jaccard-apart")
+        .select("doc", "component", F.col("all_blocks").alias("blocks"), "tag", "own"), "jaccard-apart")
 
 
 def _shingler(width: int):
@@ -319,45 +319,60 @@ def _shingler(width: int):
                 ends = np.cumsum([0] + [len(s) for s in sets])
                 values = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("_id"), *map(part.column, ("component", "tag", "own")),
+                    [part.column("_id"), *map(part.column, ("component", "blocks", "tag", "own")),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))],
-                    ["doc", "component", "tag", "own", "shingles"])
+                    ["doc", "component", "blocks", "tag", "own", "shingles"])
     return run
 
 
+def _counted(able: DataFrame, uses: DataFrame) -> DataFrame:
+    """Shingles of each set with their counts, but for those held once or by more sets than there are blocks."""
+    few = uses.where("times > 1 and times <= blocks").select("component", "sig", "times")
+    return able.select("doc", "key", "component", F.explode("others").alias("sig")).join(few, ["component", "sig"])
+
+
 def _rare_shingles(texts: DataFrame, apart: DataFrame, width: int, percent: int) -> DataFrame:
     """``(doc, component, tag, own, sig)``: the rarest shingles of each set that other sets hold too.
 
     Of n shingles, linked sets have at least ``percent`` in a hundred in common, so in any order
     that all sets of a component follow they share one of their first n - ceil(n * percent / 100) + 1.
     Rare ones come first, so that a passage which many sets hold brings only such sets
-    together as consist of little else.
+    together as consist of little else.  Shingles held by more sets than the component has blocks are
+    in most blocks, whichever is taken, so they come last, by their hash, and are never joined with
+    their counts: the copies of one text cost that join nothing.
     """
+    if "blocks" not in apart.columns:  # the last block that holds a shingle stands for their number
+        apart = apart.withColumn("blocks", F.col("own") + 1)
     with keys_filtered(texts.sparkSession):
-        held = written(_with_texts(texts, apart).select("_id", "_text", "component", "tag", "own").mapInArrow(
-            _shingler(width), "doc long, component long, tag long, own int, shingles array<long>"),
+        held = written(
+            _with_texts(texts, apart).select("_id", "_text", "component", "blocks", "tag", "own").mapInArrow(
+                _shingler(width),
+                "doc long, component long, blocks int, tag long, own int, shingles array<long>"),
             "jaccard-shingles")
     # Rows that repeat an id with another text are sets of their own.
-    held = held.withColumn("key", F.xxhash64("shingles")).withColumn("n", F.size("shingles"))
+    held = held.withColumn("key", F.xxhash64("shingles")).withColumn(
+        "least", F.ceil(F.size("shingles") * percent / 100).cast("int"))
     uses = written(
-        held.select("doc", "key", "component", F.explode("shingles").alias("sig")).groupBy("component", "sig").agg(
-            F.count("*").alias("times"), F.min("doc").alias("doc"), F.min("key").alias("key")), "jaccard-uses")
-    often = uses.where("times > 1").select("component", "sig", "times")
+        held.select("doc", "key", "component", "blocks", F.explode("shingles").alias("sig"))
+        .groupBy("component", "sig").agg(
+            F.count("*").alias("times"), F.min("doc").alias("doc"), F.min("key").alias("key"),
+            F.max("blocks").alias("blocks")), "jaccard-uses")
     # Shingles of one set only come first of all, so of the others these are left to look at.  A set
-    # with none left links with nothing, which is known before any shingle is joined with its count.
-    alone = uses.where("times = 1").groupBy("doc", "key").agg(F.count("*").alias("alone"))
+    # with too few left links with nothing, which is known before any shingle is joined with its count.
+    alone = uses.where("times = 1").groupBy("doc", "key").agg(F.collect_list("sig").alias("alone"))
     able = written(
         held.join(alone, ["doc", "key"], "left")
-        .where(F.col("n") - F.coalesce("alone", F.lit(0)) >= F.ceil(F.col("n") * percent / 100)),
-        "jaccard-able")
-    each = able.select("doc", "key", "n", "component", "tag", "own", F.explode("shingles").alias("sig"))
-    left = F.size("all") - F.ceil(F.col("n") * percent / 100) + 1
-    ordered = each.join(often, ["component", "sig"]).groupBy(
-        "doc", "key", "n", "component", "tag", "own").agg(
-        F.sort_array(F.collect_list(F.struct("times", "sig"))).alias("all")).where(left > 0)
-    return ordered.select(
-        "doc", "component", "tag", "own", F.explode(F.slice("all", F.lit(1), left.cast("int"))).alias("s")).select(
-        "doc", "component", "tag", "own", F.col("s.sig").alias("sig"))
+        .withColumn("others", F.array_except(
+            "shingles", F.coalesce("alone", F.array().cast("array<long>"))))
+        .where(F.size("others") >= F.col("least"))
+        .select("doc", "key", "least", "component", "tag", "own", "others"), "jaccard-able")
+    rare = _counted(able, uses).groupBy("doc", "key").agg(
+        F.sort_array(F.collect_set(F.struct("times", "sig"))).alias("rare"))
+    ordered = able.join(rare, ["doc", "key"], "left").withColumn(
+        "rare", F.coalesce(F.col("rare.sig"), F.array().cast("array<long>"))).withColumn(
+        "sigs", F.concat("rare", F.sort_array(F.array_except("others", "rare"))))
+    return ordered.select("doc", "component", "tag", "own", F.explode(
+        F.slice("sigs", F.lit(1), F.size("others") - F.col("least") + 1)).alias("sig"))
 
 
 def _visits(texts: DataFrame, apart: DataFrame, width: int, percent: int) -> DataFrame:

@@ -188,3 +188,47 @@ def test_shingles_of_sets_that_link_with_nothing_are_not_joined(spark, monkeypat
     rare = jaccard_join._rare_shingles(held, apart, 3, 80)
     assert {r["doc"] for r in kept["jaccard-able"].collect()} == set(range(50, 56))
     assert {r["doc"] for r in rare.collect()} == set(range(50, 56))
+
+
+def rare_of(spark, monkeypatch, data, width, percent, blocks):
+    """Rare shingles of sets that are all in one component, and the rows joined with their counts."""
+    from lanewatch.llm import jaccard_join
+
+    held = spark.createDataFrame(data, "_id long, _text string")
+    apart = held.select("_id").distinct().selectExpr(
+        "_id doc", "1L component", f"{blocks} blocks", "cast(null as bigint) tag", f"cast(_id % {blocks} as int) own")
+    plain, joined = jaccard_join._counted, []
+    monkeypatch.setattr(
+        jaccard_join, "_counted", lambda *frames: joined.append(plain(*frames)) or joined[-1])
+    rare = {}
+    for r in jaccard_join._rare_shingles(held, apart, width, percent).collect():
+        rare.setdefault(r["doc"], set()).add(r["sig"])
+    return rare, joined[0].count()
+
+
+def test_copies_are_not_joined_with_the_counts_of_what_all_hold(spark, monkeypatch):
+    base = [f"w{k}" for k in range(60)]
+    data = [(n, " ".join(base[:n % 50] + [f"x{n}"] + base[n % 50 + 1:])) for n in range(200)]
+    rare, joined = rare_of(spark, monkeypatch, data, 3, 80, 4)
+    assert set(rare) == set(range(200))
+    assert joined < 1000  # 200 sets of 58 shingles, all but a few of them held by more than 4
+
+
+@pytest.mark.parametrize("percent, blocks", [(80, 1), (80, 6), (60, 40), (90, 3)])
+def test_linked_sets_share_a_rare_shingle(spark, monkeypatch, percent, blocks):
+    import random
+
+    draw = random.Random(percent + blocks)
+    bases = [[f"b{b}w{k}" for k in range(draw.randint(5, 60))] for b in range(5)]
+    data = []
+    for n in range(160):
+        words = list(draw.choice(bases)) + [f"common{k}" for k in range(draw.choice([0, 0, 8]))]
+        for _ in range(draw.choice([0, 1, 1, 2, 4])):
+            words[draw.randrange(len(words))] = f"e{draw.randrange(30)}"
+        data.append((n, " ".join(words)))
+    data += [(7, "other words " + data[7][1]), data[9], data[9], (11, data[12][1])]
+    rare, _ = rare_of(spark, monkeypatch, data, 3, percent, blocks)
+    sets = [(doc, shingles(text, 3)) for doc, text in data]
+    for (a, x), (b, y) in itertools.combinations(sets, 2):
+        if a != b and 100 * len(x & y) >= percent * len(x | y):
+            assert rare[a] & rare[b], (a, b)
