@@ -429,7 +429,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         signatures.select("doc", F.explode("sigs").alias("sig"))
         .repartition("sig").sortWithinPartitions("sig", "doc")
         .mapInArrow(_first_of_runs, "a long, b long"))
-    groups = components(agreeing.unionByName(copies), "jaccard-groups").distinct()
+    groups = components(agreeing.unionByName(copies), "jaccard-groups")
     groups = written(groups.join(
         sets.select(F.col("rep").alias("node")).distinct(), "node", "left_semi"), "jaccard-members")
     sizes = written(
@@ -442,13 +442,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     members = written(members, "jaccard-blocks")
     met = members.select("doc", "component", "own").unionByName(_pivots(members)).distinct()
     links = _linked(texts, met, ["own"], width, percent)
-    clusters = written(components(links, "jaccard-clusters").distinct(), "jaccard-clusters")
+    clusters = components(links, "jaccard-clusters")
     links = clusters.select(F.col("node").alias("a"), F.col("component").alias("b"))
     apart = _apart(members, clusters, block)
     if not apart.isEmpty():
         links = links.unionByName(
             _linked(texts, _visits(texts, apart, width, percent), ["low", "high"], width, percent))
-    joined = written(components(links, "jaccard-links").distinct(), "jaccard-components")
+    joined = components(links, "jaccard-links")
     where = written(
         sets.join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left")
         .select("d1", "d2", "n", F.coalesce("component", "rep").alias("component")), "set-components")

@@ -232,3 +232,33 @@ def test_linked_sets_share_a_rare_shingle(spark, monkeypatch, percent, blocks):
     for (a, x), (b, y) in itertools.combinations(sets, 2):
         if a != b and 100 * len(x & y) >= percent * len(x | y):
             assert rare[a] & rare[b], (a, b)
+
+
+def test_components_that_are_stars_take_no_round(rows, monkeypatch):
+    from lanewatch.llm import common
+
+    labels, plain = [], common.written
+    monkeypatch.setattr(common, "written", lambda df, label: labels.append(label) or plain(df, label))
+    links = [(1, k) for k in range(2, 30)] + [(k, 1) for k in range(2, 9)] + [(40, 41), (60, 50)]
+    got = sorted(map(tuple, components(rows("a long, b long", links), "t").collect()))
+    assert got == [(k, 1) for k in range(1, 30)] + [(40, 40), (41, 40), (50, 50), (60, 50)]
+    assert labels == ["t-links", "t-least"]
+
+
+def test_components_of_random_links(rows):
+    import random
+
+    draw = random.Random(5)
+    for links_of in (150, 260, 600):
+        links = [(draw.randrange(300), draw.randrange(300)) for _ in range(links_of)] + [(None, 3), (4, None)]
+        low = list(range(300))
+        changed = True
+        while changed:
+            changed = False
+            for a, b in links:
+                if a is not None and b is not None and low[a] != low[b]:
+                    low[a] = low[b] = min(low[a], low[b])
+                    changed = True
+        nodes = {x for a, b in links if a is not None and b is not None and a != b for x in (a, b)}
+        got = sorted(map(tuple, components(rows("a long, b long", links), "t").collect()))
+        assert got == sorted((x, low[x]) for x in nodes)
