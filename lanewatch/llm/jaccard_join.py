@@ -41,6 +41,8 @@ PIVOTS = 8
 #: them leave more weak ones to leave out, but make each smaller.
 PARTS_PERCENT = 125
 _COLUMNS = 8192
+#: Bytes of text whose sets a worker makes at a time, and cells of a matrix it multiplies at a time.
+SLICE, CELLS = 1 << 18, 1 << 20
 
 
 def size_levels(percent: int, most: int) -> np.ndarray:
@@ -128,7 +130,7 @@ def _describer(width: int, percent: int, names: tuple[str, ...], once: bool = Fa
         seen: set[tuple] = set()
         for batch in batches:
             texts = batch.column("_text")
-            for low, high in row_slices(texts):
+            for low, high in row_slices(texts, SLICE):
                 sets = shingle_sets(*text_buffer(texts.slice(low, high - low)), width)
                 columns = {
                     "doc" if c == "_id" else c: batch.column(c).slice(low, high - low)
@@ -218,7 +220,7 @@ def token_group_links(sets: list[np.ndarray], percent: int) -> list[int]:
     pairs = np.repeat(opened, np.diff(np.append(firsts, n)), axis=1)
     asked, member = np.nonzero(np.triu(pairs | pairs.T, 1))
     common = np.zeros(len(asked))
-    step = max(1, (1 << 24) // max(1, min(width, _COLUMNS)))
+    step = max(1, CELLS // max(1, min(width, _COLUMNS)))
     if len(asked):
         rows = np.unique(np.concatenate([asked, member]))
         dense = len(asked) * 4 > len(rows) ** 2
@@ -243,7 +245,7 @@ def _linker(width: int, percent: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         column = pa.array(pdf["_text"], pa.large_string())
         sets = []
-        for low, high in row_slices(column):
+        for low, high in row_slices(column, SLICE):
             sets += shingle_sets(*text_buffer(column.slice(low, high - low)), width)
         docs = pdf["doc"].to_numpy()
         tops = token_group_links(sets, percent)
@@ -313,7 +315,7 @@ def _apart(members: DataFrame, clusters: DataFrame, block: int) -> DataFrame:
 def _shingler(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high in row_slices(batch.column("_text")):
+            for low, high in row_slices(batch.column("_text"), SLICE):
                 part = batch.slice(low, high - low)
                 sets = shingle_sets(*text_buffer(part.column("_text")), width)
                 ends = np.cumsum([0] + [len(s) for s in sets])
