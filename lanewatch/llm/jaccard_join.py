@@ -345,29 +345,27 @@ def _rare_shingles(texts: DataFrame, apart: DataFrame, width: int, percent: int)
     """
     if "blocks" not in apart.columns:  # the last block that holds a shingle stands for their number
         apart = apart.withColumn("blocks", F.col("own") + 1)
-    with keys_filtered(texts.sparkSession):
-        held = written(
-            _with_texts(texts, apart).select("_id", "_text", "component", "blocks", "tag", "own").mapInArrow(
-                _shingler(width),
-                "doc long, component long, blocks int, tag long, own int, shingles array<long>"),
-            "jaccard-shingles")
+    # Shingles outweigh the texts as well: they are counted and looked up where they are made, not stored.
+    held = _with_texts(texts, apart).select("_id", "_text", "component", "blocks", "tag", "own").mapInArrow(
+        _shingler(width), "doc long, component long, blocks int, tag long, own int, shingles array<long>")
     # Rows that repeat an id with another text are sets of their own.
     held = held.withColumn("key", F.xxhash64("shingles")).withColumn(
         "least", F.ceil(F.size("shingles") * percent / 100).cast("int"))
-    uses = written(
-        held.select("doc", "key", "component", "blocks", F.explode("shingles").alias("sig"))
-        .groupBy("component", "sig").agg(
-            F.count("*").alias("times"), F.min("doc").alias("doc"), F.min("key").alias("key"),
-            F.max("blocks").alias("blocks")), "jaccard-uses")
-    # Shingles of one set only come first of all, so of the others these are left to look at.  A set
-    # with too few left links with nothing, which is known before any shingle is joined with its count.
-    alone = uses.where("times = 1").groupBy("doc", "key").agg(F.collect_list("sig").alias("alone"))
-    able = written(
-        held.join(alone, ["doc", "key"], "left")
-        .withColumn("others", F.array_except(
-            "shingles", F.coalesce("alone", F.array().cast("array<long>"))))
-        .where(F.size("others") >= F.col("least"))
-        .select("doc", "key", "least", "component", "tag", "own", "others"), "jaccard-able")
+    with keys_filtered(texts.sparkSession):
+        uses = written(
+            held.select("doc", "key", "component", "blocks", F.explode("shingles").alias("sig"))
+            .groupBy("component", "sig").agg(
+                F.count("*").alias("times"), F.min("doc").alias("doc"), F.min("key").alias("key"),
+                F.max("blocks").alias("blocks")), "jaccard-uses")
+        # Shingles of one set only come first of all, so of the others these are left to look at.  A set
+        # with too few left links with nothing, which is known before any shingle is joined with its count.
+        alone = uses.where("times = 1").groupBy("doc", "key").agg(F.collect_list("sig").alias("alone"))
+        able = written(
+            held.join(alone, ["doc", "key"], "left")
+            .withColumn("others", F.array_except(
+                "shingles", F.coalesce("alone", F.array().cast("array<long>"))))
+            .where(F.size("others") >= F.col("least"))
+            .select("doc", "key", "least", "component", "tag", "own", "others"), "jaccard-able")
     rare = _counted(able, uses).groupBy("doc", "key").agg(
         F.sort_array(F.collect_set(F.struct("times", "sig"))).alias("rare"))
     ordered = able.join(rare, ["doc", "key"], "left").withColumn(
