@@ -6,7 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lanewatch.functions.geo import circle_ring, haversine_m
+from lanewatch.functions.geo import circle_ring, haversine_m, latitude_cosine, within_m
+from lanewatch.functions.values import rounded_half_up
 from lanewatch.operators.matching import radius_join, with_place_name
 from lanewatch.places import PLACES, places_table
 
@@ -121,3 +122,51 @@ def test_a_growing_dimension_is_never_broadcast(spark, tmp_path, how):
     joined = radius_join(events, places, **how)
     assert joined.count() == radius_join(events, places).count() > 2000
     assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bounds_tell_what_the_distance_tells(spark):
+    """Pairs on the radius or next to it, over the poles, the date line and odd longitudes."""
+    rng = random.Random(5)
+    rows = []
+    for lat, lon in [(43.3, 21.9), (0.0, 0.0), (89.9999, 10.0), (90.0, 0.0), (-90.0, 5.0), (60.0, 180.0),
+                     (-45.0, -179.9999), (10.0, 725.0), (10.0, 1e9), (10.0, 1e300)]:
+        for _ in range(100):
+            scale = 10.0 ** rng.uniform(-9, 2)
+            other = max(-90.0, min(90.0, lat + rng.uniform(-1, 1) * scale))
+            rows.append((lat, lon, other, lon + rng.uniform(-1, 1) * scale * 2 + rng.choice([0, 0, 360, -360])))
+    pairs = spark.createDataFrame(rows, "a double, b double, c double, d double").cache()
+    pair = [F.col(c) for c in "abcd"]
+    cosines = [latitude_cosine(F.col("a")), latitude_cosine(F.col("c"))]
+    exact = haversine_m(*pair)
+    found = [r["m"] for r in pairs.select(exact.alias("m")).collect()]
+    for radius in [0.1, 200.0, 1e6, 1.5e7, 20_015_000.0, 2.1e7, *(m for m in found[::125] if m > 0.1)]:
+        for at in (math.nextafter(radius, 0), radius, math.nextafter(radius, math.inf)):
+            told = within_m(*pair, *cosines, at)
+            assert pairs.where(told != (exact <= at)).count() == 0
+            assert pairs.where(told).count() == sum(m <= at for m in found)
+
+
+def test_rounding_by_arithmetic_is_the_rounding_of_the_text(spark):
+    rng = random.Random(3)
+    values = [0.0, -0.0, 0.00005, -0.00005, 1.00005, 2.34565, 0.00015, -1e-9, 199.99995, 1e5, 123456.78905, 1e15,
+              -1e300, float("inf"), float("-inf"), float("nan"), None, 5e-324]
+    values += [rng.uniform(0, 200) for _ in range(20000)]
+    values += [rng.randrange(4_000_000) / 20000 for _ in range(20000)]  # half of them end in a half
+    values += [math.nextafter(v, rng.choice([-1e9, 1e9])) for v in values[-5000:]]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select(
+        F.round("v", 4).cast("string").alias("wanted"), rounded_half_up(F.col("v"), 4).cast("string").alias("got"))
+    assert rows.where("not (wanted <=> got)").count() == 0
+
+
+def test_pairs_have_their_distance_taken_once_and_fill_many_tasks(spark):
+    events = spark.range(5000).selectExpr(
+        "id event_id", "43.3 + id * 0.00001 vehicle_lat", "21.85 + id * 0.00001 vehicle_lon")
+    places = events.selectExpr("event_id place", "vehicle_lat location_lat", "vehicle_lon location_lon")
+    joined = radius_join(events, places, salts=4)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    (condition,) = [line for line in plan.splitlines() if "Join Inner" in line]
+    # What bounds tell comes first; the distance stands behind them, for what they leave.
+    assert condition.index("<=") < condition.index("ASIN") and condition.count("ASIN") == 1
+    assert plan.count("ASIN") == 2
+    assert joined.rdd.getNumPartitions() >= 8 * spark.sparkContext.defaultParallelism
+    assert joined.count() == radius_join(events, places).count() > 5000
