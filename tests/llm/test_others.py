@@ -2,8 +2,10 @@
 
 import hashlib
 import json
+import os
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -576,3 +578,83 @@ def test_neighbours_on_odd_rows(rows):
     assert [(r["rank"], r["vec_id"], r["score"]) for r in got] == [(1, 1, 0.0), (2, 7, 1.0), (3, 8, 1.0)]
     assert nearest_neighbours(frame.limit(0), F.col("id") == 0).count() == 0
     assert nearest_neighbours(frame.where("vec_id = 0"), F.col("id") == 0).count() == 0
+
+
+def article_page(*lines):
+    return "<body><nav>menu</nav><article>" + "".join(f"<p>{line}</p>" for line in lines) + "</article><p>beside"
+
+
+def test_template_lines_within_articles_go(rows):
+    """Articles are compared too; copies, quotes of few pages and articles of template lines stay."""
+    data = [(k, f"http://a.de/p/{k}", article_page("By the desk", f"Story {k} is told at length", "Share this"))
+            for k in range(6)]
+    data += [(10, "http://a.de/p/1x", article_page("By the desk", "Share this"))]  # nothing but template
+    data += [(11, "http://a.de/p/2", article_page("By the desk", "Story 2 is told at length", "Share this"))]  # a copy
+    data += [(12, "http://a.de/p/7", article_page("By the desk", "Quote", "A story of its own and long")),
+             (13, "http://a.de/p/8", article_page("By the desk", "Quote", "Another story of its own, as long"))]
+    data += [(14, "http://a.de/p/9", bare_page("By the desk", "A page without an article here"))]
+    data += [(20, "http://b.de/p/1", article_page("Alone", "Share this"))]
+    assert texts_of(rows, data) == {
+        **{k: [f"Story {k} is told at length"] for k in range(6)}, 10: ["By the desk\n\nShare this"],
+        11: ["Story 2 is told at length"], 12: ["Quote\n\nA story of its own and long"],
+        13: ["Quote\n\nAnother story of its own, as long"], 14: ["A page without an article here"],
+        20: ["Alone\n\nShare this"]}
+
+
+def plainly_differenced(pages, least=3):
+    """Main texts of ``(page_id, url, html)`` rows by loops over each host."""
+    hosts, texts = {}, {}
+    for page, url, source in pages:
+        lines = page_diff.page_lines(source or "")
+        parts = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)([^?#]*)", url or "")
+        own = [k for k, x in enumerate(lines) if x.main] or list(range(len(lines)))
+        texts[page] = lines, own, set()
+        if parts and parts[1] and lines:
+            hosts.setdefault(parts[1].lower(), []).append((parts[2], page, tuple(x.text for x in lines)))
+    for found in hosts.values():
+        contents = {lines for _, _, lines in found}
+        holders = Counter(line for lines in contents for line in set(lines))
+        digest = {line: hashlib.md5(line.encode()).digest() for line in holders}
+        sign = {lines: min(set(lines), key=lambda x: (
+            holders[x] if holders[x] * 2 >= len(contents) else 0, -len(x), digest[x])) for lines in contents}
+        held = Counter(line for line, _ in {(line, sign[lines]) for lines in contents for line in lines})
+        template = {line for line, n in held.items() if n >= min(least, len(set(sign.values())))}
+        first = {}
+        for path, page, lines in found:
+            first[path, lines] = min(page, first.get((path, lines), page))
+        places = sorted(first, key=lambda x: (
+            x[0].encode(), first[x], hashlib.md5("\n".join(x[1]).encode()).hexdigest()))
+        other = {}
+        for at, (path, lines) in enumerate(places):
+            near = [next((p for p in side if sign[p[1]] != sign[lines]), None)
+                    for side in (places[:at][::-1], places[at + 1:])]
+            near = [p for p in near if p]
+            if near:
+                other[path, lines] = max(near, key=lambda p: len(os.path.commonprefix([p[0], path])))[1]
+        for path, page, lines in found:
+            if (path, lines) in other:
+                texts[page][2].update(k for k in shared_lines(list(lines), list(other[path, lines]))
+                                      if lines[k] in template)
+    return {page: "\n\n".join(lines[k].text for k in [k for k in own if k not in gone] or own)
+            for page, (lines, own, gone) in texts.items()}
+
+
+def test_pages_equal_a_plain_version(spark, rows):
+    import random
+    draw = random.Random(9)
+    made = []
+    for page in range(1500):  # paths, lines and whole pages repeat
+        lines = [f"line {draw.randrange(8)}" for _ in range(draw.randrange(5))]
+        lines += [f"story {draw.randrange(900)} at some length"] * (draw.random() < 0.9) + ["foot"] * (draw.random() < 0.7)
+        host = draw.choice(["big.de"] * 5 + [f"h{draw.randrange(200)}.de"])
+        made.append((page, f"http://{host}/{draw.choice('abc')}/{draw.randrange(400)}",
+                     draw.choice([article_page, bare_page])(*lines)))
+    given = [tuple(r) for r in table(spark, "/root/testdata/sf0.1", "pages").select("page_id", "url", "html").collect()]
+    for data in (made, given):
+        wanted = plainly_differenced(data)
+        pages = rows("page_id long, url string, html string", data)
+        assert {r["page_id"]: r["text"] for r in extract_main_text(pages).collect()} == wanted
+        whole = {page: page_diff.page_lines(source) for page, _, source in data}
+        changed = [k for k, v in wanted.items() if any(x.main for x in whole[k])
+                   and v != "\n\n".join(x.text for x in whole[k] if x.main)]
+        assert len(changed) > 50  # articles that lose a line
